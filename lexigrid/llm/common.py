@@ -66,7 +66,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def size_in_bytes(df: DataFrame) -> int:
     """What the optimiser knows of df's size, without a job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def utf8_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

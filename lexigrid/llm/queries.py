@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigrid.llm import line_dedup, quality_rules
+from lexigrid.llm import line_dedup, quality_rules, simhash_dedup, substring_dedup
 from lexigrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,14 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_intervals(table(spark, sf_dir, "documents"))
+
+
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.removed_pairs(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_filter(table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "n_chars")
 
@@ -23,9 +31,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUALITY_SQL = "SELECT doc_id, lang, source, n_chars FROM documents WHERE text IS NOT NULL" + "".join(f" AND NOT ({r.sql.replace('{t}', 'text')})" for r in quality_rules.RULES)
 
 
+SUBSTRING_SQL = r"""
+WITH texts AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\v\f\r]+'), lambda x: x <> '') AS w FROM documents),
+places AS (SELECT doc_id, unnest(range(1, len(w) - {n} + 2)) AS i, w FROM texts WHERE len(w) >= {n}),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + {n} - 1], ' ') AS g FROM places),
+repeated AS (SELECT doc_id, i FROM windows WHERE g IN (SELECT g FROM windows GROUP BY g HAVING count(*) > 1)),
+steps AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {n} THEN 0 ELSE 1 END AS new FROM repeated),
+islands AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM steps)
+SELECT doc_id, min(i) - 1 AS start_token, max(i) - 1 + {n} AS end_token FROM islands GROUP BY doc_id, run
+""".replace("{n}", str(substring_dedup.WINDOW))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_line_dedup": op1_line_dedup, "op10_quality_rules": op10_quality_rules}
+    return {q.__name__: q for q in (op1_line_dedup, op4_substring_dedup, op6_simhash_dedup, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_quality_rules": QUALITY_SQL}
+    return {"op4_substring_dedup": SUBSTRING_SQL, "op10_quality_rules": QUALITY_SQL}
