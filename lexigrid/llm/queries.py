@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigrid.llm import line_dedup, quality_rules, simhash_dedup, substring_dedup
+from lexigrid.llm import line_dedup, quality_rules, secret_scan, simhash_dedup, substring_dedup, url_filter
 from lexigrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_intervals(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,10 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.removed_pairs(table(spark, sf_dir, "documents"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_matches(table(spark, sf_dir, "pages"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_filter(table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "n_chars")
 
@@ -42,9 +50,20 @@ SELECT doc_id, min(i) - 1 AS start_token, max(i) - 1 + {n} AS end_token FROM isl
 """.replace("{n}", str(substring_dedup.WINDOW))
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+SECRETS_SQL = " UNION ALL ".join(
+    f"SELECT doc_id, {_quoted(r.name)} AS rule, i AS match_no, length(m[i]) AS n_chars, md5(m[i]) AS digest FROM (SELECT doc_id, m, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, {_quoted(r.pattern)}) AS m FROM documents))" for r in secret_scan.RULES
+)
+
+URL_SQL = "SELECT page_id, url, rule FROM pages, (VALUES " + ", ".join(f"({_quoted(r.name)}, {_quoted(r.pattern)})" for r in url_filter.RULES) + ") AS rules (rule, pattern) WHERE regexp_matches(lower(url), pattern)"
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_line_dedup, op4_substring_dedup, op6_simhash_dedup, op10_quality_rules)}
+    return {q.__name__: q for q in (op1_line_dedup, op3_secret_scan, op4_substring_dedup, op6_simhash_dedup, op7_url_filter, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_substring_dedup": SUBSTRING_SQL, "op10_quality_rules": QUALITY_SQL}
+    return {"op3_secret_scan": SECRETS_SQL, "op7_url_filter": URL_SQL, "op4_substring_dedup": SUBSTRING_SQL, "op10_quality_rules": QUALITY_SQL}
