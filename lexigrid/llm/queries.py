@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexigrid.llm import line_dedup, quality_rules, secret_scan, simhash_dedup, substring_dedup, url_filter
+from lexigrid.llm import embedding_dedup, line_dedup, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup, url_filter
 from lexigrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = embedding_dedup.near_pairs(table(spark, sf_dir, "embeddings"))
+    return pairs.select("a", "b", F.round("similarity", 6).alias("similarity"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -24,6 +30,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_intervals(table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.removed_pairs(table(spark, sf_dir, "documents"))
 
@@ -61,9 +71,16 @@ SECRETS_SQL = " UNION ALL ".join(
 URL_SQL = "SELECT page_id, url, rule FROM pages, (VALUES " + ", ".join(f"({_quoted(r.name)}, {_quoted(r.pattern)})" for r in url_filter.RULES) + ") AS rules (rule, pattern) WHERE regexp_matches(lower(url), pattern)"
 
 
+EMBEDDING_SQL = f"""
+SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity
+FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id
+WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= {embedding_dedup.THRESHOLD}
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_line_dedup, op3_secret_scan, op4_substring_dedup, op6_simhash_dedup, op7_url_filter, op10_quality_rules)}
+    return {q.__name__: q for q in (op1_line_dedup, op2_embedding_dedup, op3_secret_scan, op4_substring_dedup, op5_packing, op6_simhash_dedup, op7_url_filter, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secret_scan": SECRETS_SQL, "op7_url_filter": URL_SQL, "op4_substring_dedup": SUBSTRING_SQL, "op10_quality_rules": QUALITY_SQL}
+    return {"op2_embedding_dedup": EMBEDDING_SQL, "op3_secret_scan": SECRETS_SQL, "op7_url_filter": URL_SQL, "op4_substring_dedup": SUBSTRING_SQL, "op10_quality_rules": QUALITY_SQL}
