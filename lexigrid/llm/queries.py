@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm import embedding_dedup, line_dedup, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup, url_filter
+from lexigrid.llm import bpe, embedding_dedup, line_dedup, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup, toxicity, url_filter
 from lexigrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The vocabulary of operator 9: a file of ranks, which every driver that runs the query must have.
+VOCABULARY = os.environ.get("LEXIGRID_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
@@ -42,6 +46,14 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_matches(table(spark, sf_dir, "pages"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_filter(table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", "n_chars")
 
@@ -79,7 +91,7 @@ WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= {e
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_line_dedup, op2_embedding_dedup, op3_secret_scan, op4_substring_dedup, op5_packing, op6_simhash_dedup, op7_url_filter, op10_quality_rules)}
+    return {q.__name__: q for q in (op1_line_dedup, op2_embedding_dedup, op3_secret_scan, op4_substring_dedup, op5_packing, op6_simhash_dedup, op7_url_filter, op8_toxicity, op9_bpe, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
