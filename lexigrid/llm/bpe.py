@@ -18,13 +18,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexigrid.llm.common import blocks, fresh, quoted, utf8_parts
 
-LOCKSTEP, MAX_STATES, BLOCK = 96, 1 << 18, 1 << 20
+LOCKSTEP, MAX_STATES, BLOCK = 96, 1 << 17, 1 << 20
 _NONE = -1
 
 
@@ -42,6 +43,10 @@ class Merges:
         self._right: dict[int, tuple[int, ...]] = {}
         self._fits: dict[int, bool] = {}
 
+    def forget(self) -> None:
+        """Empties what is remembered of pairs, which grows with the texts."""
+        self._fits.clear()
+
     @classmethod
     def read(cls, blob: bytes) -> Merges:
         """Lines of base64 of a token, a blank and its rank."""
@@ -126,6 +131,7 @@ class Transducer:
         self.ids: dict[tuple[int, ...], int] = {}
         self.met: dict[int, tuple[int, int]] = {}
         self.alive: dict[int, bool] = {}
+        self.merges.forget()
         self.filled = 0
         self._table(1 << 14)
         self._state((0,))
@@ -425,10 +431,15 @@ class Decoder:
 
     def texts(self, ids: pa.Array) -> pa.Array:
         """Null stays null; a list with an unknown or null id is an error."""
-        flat = ids.flatten()
-        if flat.null_count:
+        if ids.flatten().null_count:
             raise ValueError("a null among the token ids")
-        tokens = flat.to_numpy()
+        lens = pa.compute.list_value_length(ids).fill_null(0).to_numpy().astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(lens)])
+        parts = [self._block(ids.slice(a, b - a)) for a, b in blocks(ends, BLOCK // 4)]  # the temporary arrays stay small
+        return pa.chunked_array(parts, pa.string()).combine_chunks() if parts else pa.array([], pa.string())
+
+    def _block(self, ids: pa.Array) -> pa.Array:
+        tokens = ids.flatten().to_numpy()
         if len(tokens) and (tokens.min() < 0 or tokens.max() >= len(self.size) or not self.size[tokens].all()):
             raise ValueError("an id that is no token")
         lens = pa.compute.list_value_length(ids).fill_null(0).to_numpy()
