@@ -1,24 +1,14 @@
-"""Every query of the library on the driver's tables, with the SQL that DuckDB runs for it."""
+"""Every query of the library on the driver's tables, with the SQL that another engine runs for it."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-
-def prefix_search_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    hits = part.where(F.col("p_name").startswith("red"))
-    return hits.orderBy(F.when(F.col("p_name") == "red ring", 0).otherwise(1), F.col("p_size").asc_nulls_last(), F.length("p_name"), "p_name", "p_partkey").limit(20).select("p_partkey", "p_name", "p_size")
+from lexigrid.queries import folds, language, lookups, merges, quality  # noqa: F401
+from lexigrid.queries.registry import QUERIES, SQL, Query
 
 
 def queries() -> dict[str, Query]:
-    return {"prefix_search_name": prefix_search_name}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"prefix_search_name": "SELECT p_partkey, p_name, p_size FROM part WHERE starts_with(p_name, 'red') ORDER BY CASE WHEN p_name = 'red ring' THEN 0 ELSE 1 END, p_size ASC NULLS LAST, length(p_name), p_name, p_partkey LIMIT 20"}
+    return dict(SQL)
