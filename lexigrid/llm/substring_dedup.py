@@ -131,7 +131,7 @@ def merged(places: np.ndarray, borders: np.ndarray, window: int) -> tuple[np.nda
     own = places - np.concatenate([[0], borders])[text]
     new = np.ones(len(places), bool)
     new[1:] = (text[1:] != text[:-1]) | (own[1:] > own[:-1] + window)  # windows that touch or overlap are one interval
-    last = np.append(new[1:], True)
+    last = np.append(new[1:], True)[: len(places)]
     return text[new], own[new], own[last] + window
 
 
