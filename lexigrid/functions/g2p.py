@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from dataclasses import dataclass
+from itertools import pairwise
 
 from pyspark.sql import Column
 
@@ -117,7 +118,7 @@ def _es_borders(sounds: list[Sound]) -> None:
             if s.text == "n" and after.text in "bmp":
                 s.text = "m"
             elif s.text in "ptk" and s.text + after.text not in _ES_ONSETS:
-                s.text = {"p": "b", "t": "d", "k": SOFT_G}[s.text]
+                s.text = dict(zip("ptk", "bd" + SOFT_G, strict=True))[s.text]
 
 
 def _with_stress(sounds: list[Sound], starts: list[int], stressed: int, dot: str = "") -> str:
@@ -143,7 +144,7 @@ def spanish(word: str) -> str | None:
     stressed = marked[0] if marked else nuclei[-2] if len(nuclei) > 1 and plain_end else nuclei[-1]
     _es_borders(sounds)
     starts = [0]
-    for a, b in zip(nuclei, nuclei[1:], strict=False):
+    for a, b in pairwise(nuclei):
         consonants = [i for i in range(a + 1, b) if sounds[i].kind == "C"]
         start = consonants[-1] if consonants else b
         if len(consonants) > 1 and sounds[consonants[-2]].text + sounds[start].text in _ES_ONSETS:
@@ -190,7 +191,8 @@ _IT = Speller(
         *[(c, c) for c in "bdfjklmnprtvw"],
     ]
 )
-_HALF = {"t͡ʃ": "t", "t͡s": "t", "d͡ʒ": "d", "d͡z": "d"}
+_HALF = {x: x[0] for x in "d͡z d͡ʒ t͡s t͡ʃ".split()}
+_LONG = "d͡z t͡s ʃ ɲ ʎ".split()
 
 
 def _it_glides(word: str, sounds: list[Sound]) -> list[Sound]:
@@ -206,7 +208,7 @@ def _it_lengths(sounds: list[Sound]) -> list[Sound]:
     for i, s in enumerate(sounds):
         out.append(s)
         vowels = 0 < i < len(sounds) - 1 and sounds[i - 1].kind == "V" == sounds[i + 1].kind
-        if vowels and s.text in ("ʎ", "ɲ", "ʃ", "t͡s", "d͡z"):
+        if vowels and s.text in _LONG:
             out.append(Sound(s.text))
     for s, after in zip(out, out[1:], strict=False):
         if s.text in _HALF and s.text == after.text:
@@ -228,9 +230,9 @@ def italian(word: str) -> str | None:
     marked = [i for i in nuclei if sounds[i].marked]
     stressed = marked[0] if marked else nuclei[-2] if len(nuclei) > 1 else nuclei[0]
     starts = [0]
-    for a, b in zip(nuclei, nuclei[1:], strict=False):
+    for a, b in pairwise(nuclei):
         between = b - a - 1
-        whole = between == 2 and (sounds[a + 2].kind == "G" or (sounds[a + 1].text in ("p", "b", "t", "d", "k", "f", SOFT_G) and sounds[a + 2].text in ("r", "l")))
+        whole = between == 2 and (sounds[a + 2].kind == "G" or (sounds[a + 1].text in f"bdfkpt{SOFT_G}" and sounds[a + 2].text in ("r", "l")))
         starts.append(a + 1 if between < 2 or whole else a + 2)
     return f"/{_with_stress(sounds, starts, stressed, '.')}/"
 
@@ -300,7 +302,7 @@ def german(word: str) -> str | None:
     for s, at in zip(sounds, letters, strict=True):
         if s.text == "s+":
             s.text = "ʃ" if at in (0, prefix) else "s"
-        elif s.text == "ç" and s.kind == "C" and word[at : at + 2] == "ch" and vowel in ("a", "o", "u", "au"):
+        elif s.text == "ç" and s.kind == "C" and word[at : at + 2] == "ch" and vowel in "a au o u".split():
             s.text = "x"
         if s.kind == "V":
             m = s.letter
@@ -320,7 +322,7 @@ def german(word: str) -> str | None:
     for s in reversed(sounds):
         if s.kind == "V":
             break
-        s.text = {"b": "p", "d": "t", SOFT_G: "k", "z": "s", "v": "f"}.get(s.text, s.text)
+        s.text = dict(zip(f"bdvz{SOFT_G}", "ptfsk", strict=True)).get(s.text, s.text)
     starts = []
     for n, (before, own) in enumerate(zip([-1, *nuclei], nuclei, strict=False)):
         between = own - before - 1
@@ -329,7 +331,7 @@ def german(word: str) -> str | None:
     for a, b, own in zip(starts, [*starts[1:], len(sounds)], nuclei, strict=True):
         text += ("ˈ" if own == stressed and text else "." if text else "") + "".join(s.text for s in sounds[a:b])
     text = text if "ˈ" in text else "ˈ" + text
-    text = re.sub("əʁ(?=[.ˈ]|$)", "ɐ", text).replace("ɐ.", "ɐ")
+    text = re.sub("əʁ(?![^.ˈ])", "ɐ", text).replace("ɐ.", "ɐ")
     return f"/{text}/"
 
 

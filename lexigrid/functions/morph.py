@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 NOUNS = ("noun", "name", "proper noun")
 LETTERS = {"es": "A-Za-zÁÉÍÓÚÜÑáéíóúüñ", "it": "A-Za-zÀÈÉÌÍÒÓÙàèéìíòóù", "fr": "A-Za-zÀ-ÖØ-öø-ÿŒœ", "pt": "A-Za-zÀ-ÖØ-öø-ÿ", "de": "A-Za-zÀ-ÖØ-öø-ÿß"}
+PERSONS = [f"{n}-person" for n in ("first", "second", "third")]
 NO_FORM = ["inflection-template", "table-tags"]
 
 
@@ -99,9 +100,9 @@ def _marks(text: Column, *allowed: str) -> Column:
     return F.array_distinct(F.filter(F.split(text, r"[\s,]+"), lambda t: t.isin(*allowed)))
 
 
-STEM_CHANGES = [("e", "ie"), ("o", "ue"), ("u", "ue"), ("e", "i"), ("i", "ie")]
+STEM_CHANGES = [x.split(">") for x in "e>ie o>ue u>ue e>i i>ie".split()]
 _ES_COMPARATIVE = dict(x.split("=") for x in "alto=superior bajo=inferior bien=mejor bueno=mejor grande=mayor mal=peor malo=peor mucho=más pequeño=menor poco=menos".split())
-_ES_INFINITIVE = "^(.*?)(ar|er|ir|ír)(se)?$"
+_ES_INFINITIVE = "^(.*?)([aei]r|ír)(?:se)?$"
 
 
 def stem_change(infinitive: Column, third_person: Column) -> Column:
@@ -143,7 +144,7 @@ def spanish() -> dict[str, Column]:
         "gender": F.when(is_noun, gender),
         "plural": F.when(is_noun, plural),
         "feminine": F.when(is_noun, _feminine_of(noun, "es")).when(is_adj, adjective),
-        "conjugation": F.when(is_verb, _mapped(first_match(word, _ES_INFINITIVE, 2), {"ar": "1", "er": "2", "ir": "3", "ír": "3"})),
+        "conjugation": F.when(is_verb, _mapped(first_match(word, _ES_INFINITIVE, 2), dict(x.split("=") for x in "ar=1 er=2 ir=3 ír=3".split()))),
         "stem_change": F.when(is_verb, stem_change(word, third)),
         "pp": F.when(is_verb, F.when(word.rlike(_ES_INFINITIVE), irregular(participle, regular)).otherwise(participle)),
         "transitivity": F.when(is_verb, transitivity(senses)),
@@ -155,7 +156,8 @@ def italian() -> dict[str, Column]:
     word, pos, forms, senses, heads, categories = (F.col(c) for c in ("word", "pos", "forms", "senses", "head_templates", "categories"))
     expansions = F.lower(F.array_join(F.transform(heads, lambda h: F.coalesce(h["expansion"], F.lit(""))), "\n"))
     names = F.concat(F.coalesce(categories, F.array().cast("array<string>")), F.flatten(F.transform(senses, lambda s: F.transform(F.coalesce(s["categories"], F.filter(s["categories"], lambda c: F.lit(False))), lambda c: c["name"]))))
-    said = F.translate(F.array_join(F.regexp_extract_all(expansions, F.lit(r"auxiliary\s+((?:av[eé]re|[eè]ssere)(?:\s+or\s+(?:av[eé]re|[eè]ssere))?)"), F.lit(1)), " "), "éè", "ee")
+    verbs = "(?:avere|essere)"
+    said = F.array_join(F.regexp_extract_all(F.translate(expansions, "éè", "ee"), F.lit(rf"auxiliary\s+({verbs}(?:\s+or\s+{verbs})?)"), F.lit(1)), " ")
     avere = F.contains(said, F.lit("avere")) | F.coalesce(F.array_contains(names, "taking avere as auxiliary"), F.lit(False))
     essere = F.contains(said, F.lit("essere")) | F.coalesce(F.array_contains(names, "taking essere as auxiliary"), F.lit(False))
     isc = F.coalesce(F.exists(heads, lambda h: F.coalesce(F.contains(F.element_at(h["args"], "1"), F.lit("isc")), F.lit(False))), F.lit(False))
@@ -171,7 +173,7 @@ def italian() -> dict[str, Column]:
     formed = F.transform(F.filter(forms, lambda f: F.array_contains(tags_of(f), "plural") & ~F.array_contains(tags_of(f), "singular") & ok(F.trim(f["form"]))), lambda f: F.struct(F.trim(f["form"]).alias("form"), F.when(F.array_contains(tags_of(f), "feminine"), "f").when(F.array_contains(tags_of(f), "masculine"), "m").alias("g")))
     crossed = lambda a: F.try_element_at(F.filter(a, lambda p: p["g"].isNotNull() & gender.isNotNull() & (p["g"] != gender)), F.lit(1))
     is_noun, is_verb = _is(pos, "noun", "name"), pos == "verb"
-    number = F.try_element_at(F.flatten(F.transform(senses, lambda s: F.array_intersect(tags_of(s), _strings("uncountable", "plural-only", "invariable", "collective", "singular-only")))), F.lit(1))
+    number = F.try_element_at(F.flatten(F.transform(senses, lambda s: F.array_intersect(tags_of(s), _strings(*NUMBERS, "singular-only")))), F.lit(1))
     return {
         "aux": F.when(is_verb, F.when(avere & essere, "both").when(avere, "avere").when(essere, "essere")),
         "conj": F.when(is_verb, F.when(word.endswith("are"), "1").when(word.endswith("ire"), F.when(isc, "3isc").otherwise("3")).when(word.rlike("(e|r)re$"), "2")),
@@ -185,7 +187,7 @@ def italian() -> dict[str, Column]:
 
 
 def _gender_of_args(heads: Column, common: tuple[str, ...]) -> tuple[Column, Column, Column]:
-    values = F.flatten(F.transform(heads, lambda h: F.transform(_strings("1", "2", "g", "g2"), lambda k: F.lower(F.trim(F.coalesce(F.element_at(h["args"], k), F.lit("")))))))
+    values = F.flatten(F.transform(heads, lambda h: F.transform(_strings(*"1 2 g g2".split()), lambda k: F.lower(F.trim(F.coalesce(F.element_at(h["args"], k), F.lit("")))))))
     some = lambda *xs: F.coalesce(F.arrays_overlap(values, _strings(*xs)), F.lit(False))
     return some("f", "f-p"), some("m", "m-p"), some(*common)
 
@@ -250,9 +252,10 @@ def german() -> dict[str, Column]:
     by_senses = F.array_join(F.array_compact(F.array(*[F.when(sense_has(senses, t), g) for t, g in (("masculine", "m"), ("feminine", "f"), ("neuter", "n"))])), "/")
     auxiliary = F.regexp_extract(verb, r"auxiliary ([^)]+)", 1)
     haben, sein = F.contains(auxiliary, F.lit("haben")), F.contains(auxiliary, F.lit("sein"))
-    numbered = F.regexp_extract(verb, r"class (\d+)\s+(strong|weak|mixed)", 2)
-    vclass = F.when(numbered != "", F.concat(numbered, F.lit("-"), F.regexp_extract(verb, r"class (\d+)\s+(strong|weak|mixed)", 1))).otherwise(first_match(verb, r"\b(strong|weak|mixed|irregular)\b"))
-    split_form = F.filter(forms, lambda f: ~F.array_contains(tags_of(f), "multiword-construction") & has(tags_of(f), "present", "indicative") & any_of(tags_of(f), "first-person", "second-person", "third-person") & F.contains(F.trim(f["form"]), F.lit(" ")))
+    kinds = "strong|weak|mixed"
+    numbered = F.regexp_extract(verb, rf"class (\d+)\s+({kinds})", 2)
+    vclass = F.when(numbered != "", F.concat(numbered, F.lit("-"), F.regexp_extract(verb, rf"class (\d+)\s+({kinds})", 1))).otherwise(first_match(verb, rf"\b({kinds}|irregular)\b"))
+    split_form = F.filter(forms, lambda f: ~F.array_contains(tags_of(f), "multiword-construction") & has(tags_of(f), "present", "indicative") & any_of(tags_of(f), *PERSONS) & F.contains(F.trim(f["form"]), F.lit(" ")))
     prefix = F.substring_index(F.trim(F.try_element_at(split_form, F.lit(1))["form"]), " ", -1)
     known = F.split(_mapped(F.lower(word), _DE_DEGREES), ",")
     letters = LETTERS["de"]
@@ -313,8 +316,8 @@ def sense_meta(sense: Column, pos: Column, common: bool = True) -> Column:
 
 
 _POINTING = (
-    r"(?i)(only used in|inflection of|syntactic variant|combined with|\b(singular|plural|(first|second|third)[- ]person|participle|gerund|infinitive|imperative|indicative|subjunctive|preterite|"
-    r"imperfect|conditional|dative|accusative)\b.{0,30}\bof\b)"
+    r"(?i)(only used in|inflection of|syntactic variant|combined with|\b(accusative|conditional|dative|gerund|imperative|imperfect|indicative|infinitive|participle|"
+    r"plural|preterite|singular|subjunctive|(first|second|third)[- ]person)\b.{0,30}\bof\b)"
 )
 ABBREVIATIONS = ("abbreviation", "acronym", "initialism")
 

@@ -224,7 +224,7 @@ def repaired_json(text: str) -> str | None:
         elif stack and c == stack[-1]:
             stack.pop()
             if not stack:
-                return re.sub(r",\s*([}\]])", r"\1", text[start : i + 1])
+                return re.sub(r",(?=\s*[\]}])", "", text[start : i + 1])
     return None
 
 

@@ -20,9 +20,10 @@ _FORMS = "|".join(
     "第三人称单数一般现在时形式 第三人称单数一般现在时 过去式与过去分词形式 现在分词和动名词形式 过去式和过去分词 第三人称单数 动名词形式 替代形式 异写形式 名词复数 复数形式 变化形式 过去分词 现在分词 "
     "最高级 比较级 动名词 过去式 同义词 变形 复数".split()
 ) + r"|第三人称 ?-s ?形式"
-_CLAUSE = rf"[（(]?\s*[是为]?\s*[A-Za-z][\w '\-]*\s*的(?:{_FORMS})\s*[)）]?"
-_LOOSE = rf"(?:^|[、,，/;；\s])(?:一般现在时|{_FORMS})"
-_LABEL = r"(?m)^\s*(?:[a-z]{1,5}\.(?:form)?\s*)+"
+_LATIN = r"(?i:[a-z])(?:\w|[- '])*"
+_CLAUSE = rf"[(（]?\s*[是为]?\s*{_LATIN}\s*的(?:{_FORMS})\s*[）)]?"
+_LOOSE = rf"(?:^|[\s;,/；，、])(?:{_FORMS}|一般现在时)"
+_LABEL = r"(?m)^(?:\s*[a-z]{1,5}[.](?:form)?)+\s*"
 
 
 def shell(body: Column) -> Column:
@@ -36,7 +37,7 @@ def tail_bucket(word: Column, translation: Column) -> Column:
     """A1 only a pointer; B1, B2 from the web (transliterated or not); C1 species name; C2 names; C3 abbreviation; C4 marked; C5, C6 one or more words."""
     w, body = F.trim(F.coalesce(word, F.lit(""))), F.trim(F.coalesce(translation, F.lit("")))
     tokens = F.filter(F.split(w, r"\s+"), lambda t: t != "")
-    marks = F.regexp_extract_all(body, F.lit(r"\[([^\]]{1,8})\]"), F.lit(1))
+    marks = F.regexp_extract_all(body, F.lit(r"[\[]([^\]]{1,8})[\]]"), F.lit(1))
     after = F.trim(F.when(F.contains(body, F.lit("]")), F.regexp_replace(body, r"(?s)^[^\]]*\]", "")).otherwise(body))
     letters = lambda t: t.rlike(r"(?U)^\p{L}+$")
     species = (F.size(tokens) == 2) & F.try_element_at(tokens, F.lit(1)).rlike(r"(?U)^\p{Lu}") & F.try_element_at(tokens, F.lit(2)).rlike(r"(?U)^\p{Ll}") & F.forall(tokens, letters)

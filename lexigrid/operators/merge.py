@@ -24,7 +24,7 @@ class Field:
     logged: bool = True
 
 
-LEVELS = ("A1", "A2", "B1", "B2", "C1", "C2")
+LEVELS = tuple(a + n for a in "ABC" for n in "12")
 
 
 def joined_lines(c: Column) -> Column:

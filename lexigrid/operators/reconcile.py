@@ -62,7 +62,7 @@ def set_verdict(ours: Column, theirs: Column) -> Column:
 
 def gloss_tokens(text: Column) -> Column:
     """The words of a gloss: runs between punctuation and blanks, bracketed remarks gone."""
-    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"[（(][^）)]*[）)]", " ")
+    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"[(（][^)）]*[)）]", " ")
     return F.array_distinct(F.filter(F.split(plain, r"[\s,;，；、。./·]+"), lambda t: t != ""))
 
 
@@ -108,7 +108,7 @@ def harvested_accents(entries: DataFrame, key: object) -> DataFrame:
 def harvested_forms(entries: DataFrame) -> DataFrame:
     """(word, ipa): the first pronunciation that any entry's list of forms gives a form."""
     forms = entries.select("seq", F.posexplode("forms").alias("i", "f")).where(present(F.col("f.ipa")) & present(F.col("f.form")))
-    junk = F.coalesce(F.arrays_overlap("f.tags", F.array(*map(F.lit, ("table-tags", "inflection-template", "multiword-construction")))), F.lit(False))
+    junk = F.coalesce(F.arrays_overlap("f.tags", F.array(*map(F.lit, "inflection-template multiword-construction table-tags".split()))), F.lit(False))
     return forms.where(~junk & F.col("f.form").rlike(r"(?U)^[\p{L}][\p{L}'’ -]*$")).groupBy(F.lower(F.trim("f.form")).alias("word")).agg(F.min_by(F.trim("f.ipa"), F.struct("seq", "i")).alias("ipa"))
 
 

@@ -38,7 +38,7 @@ LANGUAGES = {
     "es": Language("es", prose=True, ipa={"phonetic": lambda: ipa.pick_ipa(F.col("sounds"))}, common_gender=True),
     "it": Language("it"),
     "fr": Language("fr"),
-    "pt": Language("pt", ipa={"ipa_br": _regional("Brazil", "Southern-Brazil", "Rio-de-Janeiro", "São-Paulo"), "ipa_pt": _regional("Portugal", "Northern", "Central", "Southern")}),
+    "pt": Language("pt", ipa={"ipa_br": _regional("Brazil", *"São-Paulo Rio-de-Janeiro Southern-Brazil".split()), "ipa_pt": _regional("Portugal", "Northern", "Central", "Southern")}),
     "de": Language("de", fold_case=False, label="变形"),
 }
 

@@ -75,9 +75,12 @@ _known(
 )
 
 _STORED = [
-    ("acto", "ˈaɡto", "ˈakto"), ("doctor", "doɡˈtoɾ", "dokˈtoɾ"), ("septiembre", "sebˈtjembɾe", "sepˈtjembɾe"), ("técnico", "ˈteɡniko", "ˈtekniko"), ("libro", "ˈliβɾo", "ˈlibɾo"), ("gracias", "ˈɡɾaθjas [ˈɡɾa.θjas]", "ˈɡɾaθjas"), ("FBI", "ˌefe ˌbe ˈi", "ˌefe ˌbe ˈi"),
-    ("extraño", "e(k)sˈtɾaɲo", "eksˈtɾaɲo"), ("moyuelo", "moʝˈ(ɡ)welo", "moʝˈwelo"), ("president", "pɾesiˈden(d)", "pɾesiˈdent"), ("derecho", "deˈɾet͡ʃo", "deˈɾetʃo"), ("euro", "ˈewɾo", "ˈeuɾo"), ("atleta", "adˈleta", "atˈleta"),
-]
+    tuple(x.split("="))
+    for x in (
+        "técnico=ˈteɡniko=ˈtekniko|septiembre=sebˈtjembɾe=sepˈtjembɾe|atleta=adˈleta=atˈleta|acto=ˈaɡto=ˈakto|derecho=deˈɾet͡ʃo=deˈɾetʃo|libro=ˈliβɾo=ˈlibɾo|doctor=doɡˈtoɾ=dokˈtoɾ|"
+        "gracias=ˈɡɾaθjas [ˈɡɾa.θjas]=ˈɡɾaθjas|FBI=ˌefe ˌbe ˈi=ˌefe ˌbe ˈi|euro=ˈewɾo=ˈeuɾo|extraño=e(k)sˈtɾaɲo=eksˈtɾaɲo|president=pɾesiˈden(d)=pɾesiˈdent|moyuelo=moʝˈ(ɡ)welo=moʝˈwelo"
+    ).split("|")
+]
 
 
 @query(_values(_STORED, "word, given, result"))

@@ -110,7 +110,7 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
 
 def index_page(html: Column) -> Column:
     """(href, name, senses) of the rows of an extract site's index, the most senses first; the total of all languages is left out."""
-    row = r'<a\s+href="([^"]+?)/index\.html"[^>]*>([^<]+?)\s*\((\d+)\s+senses\)'
+    row = r'<a\s[^>]*?href="([^"]+)/index[.]html"[^>]*>\s*([^<]+?)\s*[(](\d+)\s+senses[)]'
     parts = [F.regexp_extract_all(html, F.lit("(?i)" + row), F.lit(i)) for i in (1, 2, 3)]
     each = F.transform(F.arrays_zip(*[p.alias(n) for p, n in zip(parts, "hns", strict=True)]), lambda r: F.struct((-r["s"].cast("long")).alias("order"), r["h"].alias("href"), F.trim(r["n"]).alias("name"), r["s"].cast("long").alias("senses")))
     return F.transform(F.array_sort(F.filter(each, lambda r: ~F.lower(r["name"]).startswith("all languages"))), lambda r: F.struct(r["href"].alias("href"), r["name"].alias("name"), r["senses"].alias("senses")))

@@ -25,7 +25,7 @@ ENTRIES = [
     {"word": "cimbla", "lang_code": "es", "pos": "verb", "senses": [{"glosses": ["inflection of cimblar"], "tags": ["third-person", "singular", "present", "indicative"], "form_of": [{"word": "cimblar"}]}]},
     {"word": "mera", "lang_code": "es", "pos": "verb", "senses": [{"glosses": ["form of merer"], "form_of": [{"word": "merer"}]}]},
     {"word": "piensa", "lang_code": "es", "pos": "verb", "senses": [{"glosses": ["x of pensar"], "form_of": [{"word": "pensar"}]}]},
-    {"word": "pensar", "lang_code": "es", "pos": "verb", "forms": [{"form": "piensa", "tags": ["present", "indicative", "singular", "third-person"]}, {"form": "pensado", "tags": ["participle", "past"]}], "senses": [{"glosses": ["to think"], "tags": ["transitive"]}, {"glosses": ["to think hard"], "tags": ["intransitive"]}]},
+    {"word": "pensar", "lang_code": "es", "pos": "verb", "forms": [{"form": "piensa", "tags": ["third-person", "singular", "indicative", "present"]}, {"form": "pensado", "tags": ["participle", "past"]}], "senses": [{"glosses": ["to think"], "tags": ["transitive"]}, {"glosses": ["to think hard"], "tags": ["intransitive"]}]},
     {"word": "FBI", "lang_code": "es", "pos": "name", "senses": [{"glosses": ["initialism of Federal Bureau"], "tags": ["initialism"], "alt_of": [{"word": "Federal Bureau"}]}]},
     {"word": "cat", "lang_code": "en", "pos": "noun", "senses": [{"glosses": ["animal"]}]},
 ]
@@ -180,7 +180,7 @@ def test_german(spark):
 
 
 def test_sounds(spark):
-    record = {"sounds": [{"ipa": "[ˈɡɾasjas]", "raw_tags": ["seseante, yeísta"]}, {"ipa": "[ˈɡɾaθjas]", "raw_tags": ["no seseante"]}, {"ipa": "[ˈɡɾaθjas]"}, {"ipa": "/x/", "tags": ["X-SAMPA"]}, {"ipa": "plain"}, {"audio": "a.ogg", "ogg_url": "u.ogg", "mp3_url": "u.mp3"}]}
+    record = {"sounds": [{"ipa": "[ˈɡɾasjas]", "raw_tags": ["seseante, yeísta"]}, {"ipa": "[ˈɡɾaθjas]", "raw_tags": ["no seseante"]}, {"ipa": "[ˈɡɾaθjas]"}, {"tags": ["X-SAMPA"], "ipa": "/x/"}, {"ipa": "plain"}, {"audio": "a.ogg", "ogg_url": "u.ogg", "mp3_url": "u.mp3"}]}
     d = spark.read.schema(readers.ENTRY).json(spark.sparkContext.parallelize([json.dumps(record), "{}"]))
     r = d.select(ipa.sounds_variants(F.col("sounds")).alias("v"), ipa.best_variant(ipa.sounds_variants(F.col("sounds")), ["no seseante"], ["seseante"]).alias("b"), ipa.audio_urls(F.col("sounds")).alias("a"), ipa.pick_ipa(F.col("sounds")).alias("p")).collect()
     assert [v["ipa"] for v in r[0]["v"]] == ["ˈɡɾasjas", "ˈɡɾaθjas"] and r[0]["v"][0]["tags"] == ["seseante", "yeísta"]
