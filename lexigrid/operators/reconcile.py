@@ -60,10 +60,15 @@ def set_verdict(ours: Column, theirs: Column) -> Column:
     )
 
 
-def gloss_tokens(text: Column) -> Column:
-    """The words of a gloss: runs between punctuation and blanks, bracketed remarks gone."""
-    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"[(（][^)）]*[)）]", " ")
-    return F.array_distinct(F.filter(F.split(plain, r"[\s,;，；、。./·]+"), lambda t: t != ""))
+def gloss_tokens(text: Column, simplified: dict[str, str] | None = None) -> Column:
+    """The words of a gloss: runs between punctuation and blanks. Bracketed remarks are words like others.
+
+    simplified: traditional signs to simple ones, so that both ways of writing compare.
+    """
+    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"^\s*[a-z]{1,6}[.]\s*", "")
+    if simplified:
+        plain = F.translate(plain, "".join(simplified), "".join(simplified.values()))
+    return F.array_distinct(F.filter(F.split(plain, r"[\s,;，；、。./·()（）]+"), lambda t: t != ""))
 
 
 def han_signs(text: Column, common: str = "的了一是在") -> Column:

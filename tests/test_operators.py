@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lexigrid.functions import labels, text
+from lexigrid.functions import labels, repair, text
 from lexigrid.operators import classify, govern, lookup, merge, reconcile, sampling, stats, topics
 from lexigrid.plans import rewrite
 from lexigrid.sources.sinks import Store
@@ -236,3 +236,17 @@ def test_work_is_taken_up_again(spark, tmp_path):
     resume.run_stream(stream(), work, out, cp).awaitTermination(120)
     assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == [(k, 2 * k) for k in range(15)]
     assert resume.remaining(spark.range(20), spark.read.parquet(out)).count() == 5
+
+
+def test_repairs(spark):
+    d = spark.createDataFrame([("taxi", "ˈtaɡsi"), ("blogs", "bloɡs"), ("xilo", "ɡsilo"), ("unboxings", "umˈboksinɡs"), ("taxi", "ˈtaksi")], "w string, i string")
+    assert [r[0] for r in d.select(repair.x_as_ks(F.col("w"), F.col("i"))).collect()] == ["ˈtaksi", None, "silo", None, None]
+    d = spark.createDataFrame([("mismo", "ˈmizmo"), ("bulldozer", "bulˈdozeɾ"), ("jazz", "ˈdʒas"), ("poya", "ˈpoya"), ("gay", "ˈɡey"), ("x", "ˈa")], "w string, i string")
+    assert [r[0] for r in d.select(repair.foreign_consonants(F.col("w"), F.col("i"))).collect()] == ["ˈmismo", "bulˈdoθeɾ", "ˈʝas", "ˈpoʝa", "ˈɡei", None]
+    d = spark.createDataFrame([("pelli", "/ˈpelli/", "pello", "/ˈbɛllo/"), ("belli", "/ˈbelli/", "bello", "/ˈbɛllo/"), ("belli", "/ˈbɛlli/", "bello", "/ˈbello/")], "f string, fi string, b string, bi string")
+    assert [r[0] for r in d.select(repair.inherited_opening(*map(F.col, ("f", "fi", "b", "bi")))).collect()] == [None, "/ˈbɛlli/", None]
+    assert [repair.accented(*x) for x in (("perdere", "ˈpɛrdere"), ("citta", "tʃitˈta"), ("scienza", "ˈʃɛntsa"), ("x", None))] == ["pèrdere", "città", None, None]
+    assert repair.pointed_bases("Participio activo del verbo requerir.") == ["requerir"]
+    assert repair.pointed_bases("Forma del femenino de amado, participio de amar.") == ["amado", "amar"]
+    d = spark.createDataFrame([("más", "mas", "/ˈmas/", None), ("más", "mas", "/ˈmas/", "mas"), ("mas", "mas", "/ˈmas/", None)], "w string, i string, r string, a string")
+    assert [r[0] for r in d.select(repair.stress_only(*map(F.col, "wira"))).collect()] == ["ˈmas", None, None]
