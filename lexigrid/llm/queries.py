@@ -77,7 +77,7 @@ def _quoted(text: str) -> str:
 
 
 SECRETS_SQL = " UNION ALL ".join(
-    f"SELECT doc_id, {_quoted(r.name)} AS rule, i AS match_no, length(m[i]) AS n_chars, md5(m[i]) AS digest FROM (SELECT doc_id, m, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, {_quoted(r.pattern)}) AS m FROM documents))" for r in secret_scan.RULES
+    f"SELECT doc_id, {_quoted(r.name)} AS rule, i::INTEGER AS match_no, length(m[i])::INTEGER AS n_chars, md5(m[i]) AS digest FROM (SELECT doc_id, m, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, {_quoted(r.pattern)}) AS m FROM documents))" for r in secret_scan.RULES
 )
 
 URL_SQL = "SELECT page_id, url, rule FROM pages, (VALUES " + ", ".join(f"({_quoted(r.name)}, {_quoted(r.pattern)})" for r in url_filter.RULES) + ") AS rules (rule, pattern) WHERE regexp_matches(lower(url), pattern)"
