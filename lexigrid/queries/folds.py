@@ -21,7 +21,7 @@ _PAIRS = "p AS (SELECT a, b, count(*) AS n FROM (SELECT a, unnest(types) AS b FR
 @query(
     """WITH m AS (SELECT *, CASE WHEN event_type = lag(event_type) OVER w THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM m)
-SELECT user_id, run, any_value(event_type) AS event_type, count(*) AS rows, min(ts) AS first, max(ts) AS last FROM r GROUP BY user_id, run"""
+SELECT user_id, run::BIGINT AS run, any_value(event_type) AS event_type, count(*) AS rows, min(ts) AS first, max(ts) AS last FROM r GROUP BY user_id, run"""
 )
 def adjacent_runs(t: Tables) -> DataFrame:
     return fold.adjacent_runs(t.events, ["user_id"], ["ts", "event_id"], "event_type")
@@ -127,7 +127,7 @@ def topic_labels(t: Tables) -> DataFrame:
     return topics.pruned(sets, "types").select("o_orderkey", F.array_join("top", ">").alias("top"))
 
 
-@query("WITH c AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type), u AS (SELECT DISTINCT user_id, event_type FROM events), r AS (SELECT user_id, event_type, n, row_number() OVER (PARTITION BY user_id ORDER BY n, event_type) AS rank FROM u JOIN c USING (event_type)) SELECT * FROM r WHERE rank <= 2")
+@query("WITH c AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type), u AS (SELECT DISTINCT user_id, event_type FROM events), r AS (SELECT user_id, event_type, n, row_number() OVER (PARTITION BY user_id ORDER BY n, event_type)::INTEGER AS rank FROM u JOIN c USING (event_type)) SELECT * FROM r WHERE rank <= 2")
 def rarest_two(t: Tables) -> DataFrame:
     return topics.rarest(t.events, ["user_id"], "event_type")
 

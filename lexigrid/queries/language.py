@@ -90,7 +90,7 @@ def spanish_stored(t: Tables) -> DataFrame:
     return d.select("word", "given", ipa.spanish_stored(F.col("word"), F.col("given")).alias("result"))
 
 
-@query("SELECT * FROM (VALUES ('o', 'a', 3), ('ɡ', 'k', 1), ('', 's', 1)) AS v(\"old\", \"new\", n)")
+@query("SELECT * FROM (VALUES ('o', 'a', 3::BIGINT), ('ɡ', 'k', 1), ('', 's', 1)) AS v(\"old\", \"new\", n)")
 def difference_pairs(t: Tables) -> DataFrame:
     d = t.spark.createDataFrame([("kato", "kata"), ("pero", "pera"), ("lo", "la"), ("aɡto", "akto"), ("kasa", "kasas"), ("x", "x")], "b string, a string")
     return stats.difference_pairs(d, "b", "a")

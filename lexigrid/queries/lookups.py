@@ -44,7 +44,7 @@ def exact_lookup_one(t: Tables) -> DataFrame:
     return lookup.exact(t.customer, " CUSTOMER#000000007 ", "c_name", [F.col("c_custkey")]).select("c_custkey", "c_name")
 
 
-@query("SELECT p, rank, p_partkey, p_name FROM (SELECT p, p_partkey, p_name, row_number() OVER (PARTITION BY p ORDER BY p_size, p_name, p_partkey) AS rank FROM part JOIN (SELECT DISTINCT substr(p_name, 1, 3) AS p FROM part) ON starts_with(p_name, p)) WHERE rank <= 3")
+@query("SELECT p, rank, p_partkey, p_name FROM (SELECT p, p_partkey, p_name, row_number() OVER (PARTITION BY p ORDER BY p_size, p_name, p_partkey)::INTEGER AS rank FROM part JOIN (SELECT DISTINCT substr(p_name, 1, 3) AS p FROM part) ON starts_with(p_name, p)) WHERE rank <= 3")
 def prefix_search_many(t: Tables) -> DataFrame:
     """The first three for each of many prefixes."""
     prefixes = t.part.select(F.substring("p_name", 1, 3).alias("p")).distinct()
@@ -71,13 +71,13 @@ def brief_first_line(t: Tables) -> DataFrame:
     return t.conversations.select("conv_id", "turn", text.first_line(F.col("text")).alias("brief"))
 
 
-@query(f"SELECT doc_id, i AS n, l[i] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, {trimmed_lines('text')} AS l FROM documents))")
+@query(f"SELECT doc_id, i::INTEGER AS n, l[i] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, {trimmed_lines('text')} AS l FROM documents))")
 def sense_split(t: Tables) -> DataFrame:
     """Lines numbered, blank ones left out."""
     return t.documents.select("doc_id", F.posexplode(text.lines(F.col("text"))).alias("n", "line")).withColumn("n", F.col("n") + 1)
 
 
-@query("SELECT event_type, count(*) AS n, count(k) AS parsed, sum(k) AS total FROM (SELECT event_type, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events) GROUP BY event_type")
+@query("SELECT event_type, count(*) AS n, count(k) AS parsed, sum(k)::BIGINT AS total FROM (SELECT event_type, CASE WHEN event_type = 'error' THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events) GROUP BY event_type")
 def json_props(t: Tables) -> DataFrame:
     """JSON of which some is cut short: what can't be parsed is null, not an error."""
     broken = F.when(F.col("event_type") == "error", F.substring("props", 1, 3)).otherwise(F.col("props"))

@@ -144,7 +144,7 @@ def misalign_rows(t: Tables) -> DataFrame:
     return t.documents.where(misaligned(F.col("text"), F.replace("text", F.lit(". "), F.lit(".\n")))).select("doc_id")
 
 
-@query("SELECT count(*) AS total, count(*) FILTER (q OR x) AS core, count(*) FILTER (NOT (q OR x)) AS tail, count(*) AS covered, 0 AS overlapping FROM (SELECT coalesce(quality, 0) > 0 AS q, coalesce(toxic, 0) > 0 AS x FROM documents LEFT JOIN labels USING (doc_id))")
+@query("SELECT count(*) AS total, count(*) FILTER (q OR x) AS core, count(*) FILTER (NOT (q OR x)) AS tail, count(*) AS covered, 0::BIGINT AS overlapping FROM (SELECT coalesce(quality, 0) > 0 AS q, coalesce(toxic, 0) > 0 AS x FROM documents LEFT JOIN labels USING (doc_id))")
 def core_nullsafe(t: Tables) -> DataFrame:
     """Core and tail make up all rows, though most signs are null."""
     from lexigrid.operators.classify import core

@@ -24,7 +24,7 @@ def tail_buckets(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT count(*) AS total, count(*) FILTER (long) AS long, count(*) FILTER (NOT long AND lines) AS lines, count(*) FILTER (NOT long AND NOT lines) AS rest, count(*) AS covered, 0 AS overlapping
+    """SELECT count(*) AS total, count(*) FILTER (long) AS long, count(*) FILTER (NOT long AND lines) AS lines, count(*) FILTER (NOT long AND NOT lines) AS rest, count(*) AS covered, 0::BIGINT AS overlapping
 FROM (SELECT n_chars > 2000 AS long, contains(text, chr(10)) AS lines FROM documents)"""
 )
 def bucket_partition(t: Tables) -> DataFrame:
