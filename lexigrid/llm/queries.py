@@ -18,7 +18,7 @@ VOCABULARY = os.environ.get("LEXIGRID_VOCABULARY", "/opt/tokenizers/byte_bpe_50k
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+    return line_dedup.run_dedup(table(spark, sf_dir, "documents"))
 
 
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
