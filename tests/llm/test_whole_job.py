@@ -58,3 +58,12 @@ def test_op1_query_on_documents(spark):
     want = without_repeated_runs(spark, rows)
     found = q.op1_line_dedup(spark, f"{DATA}/sf0.01").select("doc_id", "text")
     assert Counter(map(tuple, found.collect())) == Counter((i, want[i, t]) for i, t in rows)
+
+
+def test_op1_exact_copies_go_whole(spark):
+    """Lines of one-line chunks went nowhere: copies kept a residue of them."""
+    r = random.Random(7)
+    own = [[f"line {k} {r.random()}" for k in range(r.randint(2, 30))] for _ in range(40)]
+    rows = [(100 * c + d, "\n".join(x)) for c in range(3) for d, x in enumerate(own)]
+    out = {x["doc_id"]: x["text"] for x in line_dedup.run_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {i: t if i < 100 else "" for i, t in rows}
