@@ -30,7 +30,32 @@ class Rule:
     pattern: str
 
 
+def _host(words: str) -> str:
+    """A pattern of hosts that have one of words between dots and hyphens."""
+    return rf"^https?://(?:[^/?#]*[-.@])?\b(?:{words})(?:[-.:/?#]|$)"
+
+
+def _in_host(words: str) -> str:
+    """A pattern of hosts that have one of words anywhere, as in a compound."""
+    return rf"^https?://[^/?#]*(?:{words})"
+
+
+_WARES = "x|xx|xxx|cam|cams|chat|chats|clip|clips|content|date|dating|film|films|fun|movie|movies|only|pics|shop|site|sites|toys|tube|video|videos"
+
+#: Hosts to drop. Words that clean hosts have, too (adult, sex, spam, track), count only beside another word.
+UNWANTED = (
+    Rule("unwanted_gambling", _host(r"bet|bets|betting|bingo|bookmaker|bookmakers|blackjack|gamble|gambling|lotto|poker|roulette|slots|wager|wagers")),
+    Rule("unwanted_gambling_name", _in_host(r"casino|sportsbook|jackpot|onlinepoker|onlineslots|freebets")),
+    Rule("unwanted_pills", _host(r"pill|pills|cialis|xanax|valium|(?:cheap|discount|generic|buy)-(?:drugs|meds|medication|pharmacy|rx)")),
+    Rule("unwanted_pills_name", _in_host(r"viagra|levitra|tramadol|cheapmeds|cheappills|buypills")),
+    Rule("unwanted_adult", _host(rf"(?:adult|adults|sex|sexy)-(?:{_WARES})|(?:live|free|hot|phone)-(?:adult|sex)|erotic|erotica|escorts|milf|nsfw|nudes|camgirl|camgirls")),
+    Rule("unwanted_adult_name", _in_host(r"porn|hentai|xxx")),
+    Rule("unwanted_ads", _host(r"ads|adserver|adservers|adservice|adclick|adclicks|adtrack|adtracker|adnetwork|doubleclick|clicktrack|clicktracker|popunder|popups|(?:ad|click|pixel|beacon|user|visitor)-(?:click|clicks|network|server|servers|track|tracker|trackers|tracking)")),
+    Rule("unwanted_spam", _host(r"linkfarm|linkfarms|spamfarm|spamblog|spammy|splog|(?:spam|link|click)-(?:blog|blogs|farm|farms|links|mill|site|sites|zone)")),
+)
+
 RULES = (
+    *UNWANTED,
     Rule("tracking_ref", r"[?&]ref="),
     Rule("tracking_utm", r"[?&]utm_(?:source|medium|campaign)="),
     Rule("session_id", r"[?&;](?:sid|sessionid|jsessionid)="),
@@ -153,3 +178,8 @@ def drop_matching(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url: str =
     (hit,) = fresh(pages, "rules")
     index = rarest_tokens(pages, rules, url)
     return pages.withColumn(hit, matching_rules(quoted(url), rules, index)).where(quoted(url).isNull() | (F.size(F.col(hit)) == 0)).drop(hit)
+
+
+def drop_unwanted(pages: DataFrame, rules: tuple[Rule, ...] = UNWANTED, url: str = "url") -> DataFrame:
+    """The rows of pages whose host is none to drop; what only plain http, www, a mobile host or a query tells stays. As drop_matching else."""
+    return drop_matching(pages, rules, url)

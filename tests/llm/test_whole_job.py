@@ -7,7 +7,7 @@ from collections import Counter
 
 import pytest
 
-from lexigrid.llm import line_dedup
+from lexigrid.llm import line_dedup, url_filter
 from lexigrid.llm import queries as q
 from tests.conftest import DATA
 
@@ -67,3 +67,33 @@ def test_op1_exact_copies_go_whole(spark):
     rows = [(100 * c + d, "\n".join(x)) for c in range(3) for d, x in enumerate(own)]
     out = {x["doc_id"]: x["text"] for x in line_dedup.run_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert out == {i: t if i < 100 else "" for i, t in rows}
+
+
+UNWANTED = [
+    "http://m.casino-win.example.com/en/4033.html", "https://royalcasino.test/", "https://free-bets.example.com/en/5462#top", "http://poker.test:8080/x", "https://cheap-pills.example.com/de/1", "https://buy-meds.test?x=1",
+    "https://www.ads-track.example.com/en/9823", "http://click-tracker.test", "https://spam-farm.example.com/fr/907?utm_source=feed", "HTTPS://Link-Farms.test/", "https://adult-x.example.net/1", "http://freeporn.test/a", "https://user@bet.test/",
+]
+CLEAN = [
+    "http://www.example.com/casino/bets?ref=poker", "https://m.example.org/?utm_source=ads", "https://alphabets.test/", "https://specialist.test/", "https://adult-education.test/", "https://anti-spam.test/", "https://tracking.post.test/",
+    "http://farm.test/free-bets.html", "https://cheap-flights.test/", "https://downloads.test/#ads", "https://betty.test/", "http://www.essex.test/", "https://sex-education.test/", "https://leads.test/pills", "",
+]
+
+
+def test_op7_tells_unwanted_hosts(spark):
+    pages = spark.createDataFrame([(k, u) for k, u in enumerate([*UNWANTED, *CLEAN])] + [(-1, None)], "page_id long, url string")
+    named = {r.name for r in url_filter.UNWANTED}
+    found = {r["page_id"] for r in url_filter.url_matches(pages).collect() if r["rule"] in named}
+    assert found == set(range(len(UNWANTED)))
+    assert {r["page_id"] for r in url_filter.drop_unwanted(pages).collect()} == {-1, *range(len(UNWANTED), len(UNWANTED) + len(CLEAN))}
+    assert all(url_filter.required_tokens(r.pattern) for r in url_filter.UNWANTED if not r.name.endswith("_name"))
+
+
+def test_op7_on_pages(spark):
+    """Hosts of sf0.1 that a reader would drop, and no other."""
+    import re
+
+    pages = spark.read.parquet(f"{DATA}/sf0.1/pages.parquet").select("page_id", "url")
+    named = {r.name for r in url_filter.UNWANTED}
+    found = {r["page_id"] for r in q.op7_url_filter(spark, f"{DATA}/sf0.1").collect() if r["rule"] in named}
+    hosts = re.compile(r"https?://(?:www\.|m\.|blog\.)?(?:casino-win|free-bets|cheap-pills|ads-track|spam-farm|adult-x)\.example\.")
+    assert found == {p["page_id"] for p in pages.collect() if hosts.match(p["url"])} and found
