@@ -7,7 +7,7 @@ from collections import Counter
 
 import pytest
 
-from lexigrid.llm import line_dedup, url_filter
+from lexigrid.llm import line_dedup, toxicity, url_filter
 from lexigrid.llm import queries as q
 from tests.conftest import DATA
 
@@ -97,3 +97,32 @@ def test_op7_on_pages(spark):
     found = {r["page_id"] for r in q.op7_url_filter(spark, f"{DATA}/sf0.1").collect() if r["rule"] in named}
     hosts = re.compile(r"https?://(?:www\.|m\.|blog\.)?(?:casino-win|free-bets|cheap-pills|ads-track|spam-farm|adult-x)\.example\.")
     assert found == {p["page_id"] for p in pages.collect() if hosts.match(p["url"])} and found
+
+
+def _plain(r: random.Random, k: int) -> str:
+    return " ".join(f"w{r.randint(0, 999)}" for _ in range(k))
+
+
+def test_op8_finds_toxic_texts_of_rare_terms(spark):
+    """The term is in 8 of 40,000 texts, 0.02 %; 7 of them are labelled."""
+    r = random.Random(5)
+    rare = [(k, f"{_plain(r, 4)} grobian {_plain(r, 4)}") for k in range(8)]
+    rows = [*rare, *((100 + k, _plain(r, 9)) for k in range(39992))]
+    r.shuffle(rows)
+    labels = spark.createDataFrame([*((k, 1) for k in range(7)), *((100 + k, 0) for k in range(3000))], "doc_id long, toxic int")
+    found = toxicity.toxic_documents(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), labels)
+    assert {x["doc_id"] for x in found.collect()} == set(range(8))
+
+
+def test_op8_finds_many_toxic_texts(spark):
+    """A hot source: the labelled toxic texts 20 times over, so that their terms are in more than a tenth of all texts."""
+    from pyspark.sql import functions as F
+
+    d = spark.read.parquet(f"{DATA}/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{DATA}/sf0.1/labels.parquet")
+    hot = d.join(labels.where("toxic = 1").select("doc_id"), "doc_id").crossJoin(spark.range(1, 21)).select((F.col("doc_id") + 1000000 * F.col("id")).alias("doc_id"), "text")
+    said = {x["doc_id"] for x in toxicity.toxic_documents(d.unionByName(hot), labels).collect()}
+    toxic = {x["doc_id"] for x in labels.where("toxic = 1").collect()}
+    clean = {x["doc_id"] for x in labels.where("toxic = 0").collect()}
+    assert len(said & toxic) >= 0.7 * len(toxic) and len(said & clean) <= 0.02 * len(clean)
+    assert sum(x >= 1000000 for x in said) >= 0.7 * 20 * len(toxic)
