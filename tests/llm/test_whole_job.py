@@ -126,3 +126,13 @@ def test_op8_finds_many_toxic_texts(spark):
     clean = {x["doc_id"] for x in labels.where("toxic = 0").collect()}
     assert len(said & toxic) >= 0.7 * len(toxic) and len(said & clean) <= 0.02 * len(clean)
     assert sum(x >= 1000000 for x in said) >= 0.7 * 20 * len(toxic)
+
+
+def test_op8_lexicon_does_not_depend_on_the_layout(spark):
+    d = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{DATA}/sf0.01/labels.parquet")
+    found = []
+    for laid in (d.coalesce(1), d.repartitionByRange(8, "text")):
+        _, lexicon = toxicity.induce(laid, labels, 0.01)
+        found.append({int(h): round(float(w), 4) for h, w in zip(lexicon.hashes, lexicon.weights, strict=True) if w})
+    assert found[0] == found[1] and found[0]
