@@ -64,6 +64,42 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Makes label, the least number of each one's component, hold the links i - j too."""
+    while len(i):
+        a, b = label[i], label[j]
+        apart = a != b
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        if not len(i):
+            return
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = label[label]
+            if (up == label).all():
+                break
+            label[:] = up
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) for the nodes of edges (a, b): root is the smallest node of the connected component.
+
+    Alternating large and small stars; each round is written to the shared folder.
+    """
+    edges = written(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    seen = None
+    while True:
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u != v").distinct()
+        edges = written(small, "edges")
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == seen:
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+        seen = now
+
+
 def size_in_bytes(df: DataFrame) -> int:
     """What the optimiser knows of df's size, without a job."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
