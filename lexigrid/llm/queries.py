@@ -6,7 +6,6 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lexigrid.llm import bpe, embedding_dedup, line_dedup, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup, toxicity, url_filter
 from lexigrid.llm.common import table
@@ -22,8 +21,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = embedding_dedup.near_pairs(table(spark, sf_dir, "embeddings"))
-    return pairs.select("a", "b", F.round("similarity", 6).alias("similarity"))
+    return embedding_dedup.near_classes(table(spark, sf_dir, "embeddings"))
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,9 +82,13 @@ URL_SQL = "SELECT page_id, url, rule FROM pages, (VALUES " + ", ".join(f"({_quot
 
 
 EMBEDDING_SQL = f"""
-SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity
-FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id
-WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= {embedding_dedup.THRESHOLD}
+WITH RECURSIVE links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= {embedding_dedup.THRESHOLD}
+),
+reached (a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+classes AS (SELECT a, min(b) AS class_id FROM reached GROUP BY a)
+SELECT c.a AS vec_id, c.class_id, (SELECT count(*) FROM links l WHERE l.a = c.a) AS n_links FROM classes c
 """
 
 
