@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 
-from lexigrid.llm import secret_scan, simhash_dedup
-from lexigrid.llm.common import utf8_parts
+from lexigrid.llm import secret_scan
+from lexigrid.llm.common import utf8_parts  # noqa: F401
 
 MASK = (1 << 64) - 1
 
@@ -54,10 +55,57 @@ def line_dedup(spark, rows: list[tuple], window: int = 2, divisor: int = 3, min_
     return {d: "\n".join(x for k, x in enumerate(d[1].split("\n")) if k not in gone[d]) for d in docs}
 
 
+def _mixed(h: int) -> int:
+    h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & MASK
+    h = (h ^ h >> 27) * 0x94D049BB133111EB & MASK
+    return h ^ h >> 31
+
+
+def _hashed(raw: bytes) -> int:
+    odd = 0x9E3779B97F4A7C15
+    return _mixed(sum((c + 1) * pow(odd, k, 1 << 64) for k, c in enumerate(raw)) + len(raw) * 0xD6E8FEB86659FD93 & MASK)
+
+
+def fingerprint(text: str) -> int:
+    """The 256-bit SimHash of a text, bit after bit: the operator's definition once more, in plain Python."""
+    raw = "".join(c.lower() if c.isascii() or "\xc0" <= c <= "\xde" and c != "\xd7" else c for c in text).encode()
+    words = re.findall(rb"[0-9A-Za-z\x80-\xff]+", raw)
+    words = {w for w in words if len(w) >= 4} or set(words)
+    features = {_hashed(w) for w in words} or {_hashed(text.encode()) if text else 0x1234567}
+    out = 0
+    for bit in range(256):
+        part = 0x9E3779B97F4A7C15 * (bit // 64 + 1)
+        if sum(1 if _mixed(f + part & MASK) >> bit % 64 & 1 else -1 for f in features) > 0:
+            out |= 1 << bit
+    return out
+
+
 def prints(texts: list[str]) -> np.ndarray:
-    import pyarrow as pa
+    """uint16 [texts, 16]"""
+    known: dict[str, bytes] = {}
+    for t in texts:
+        if t not in known:
+            known[t] = fast_fingerprint(t)
+    return np.frombuffer(b"".join(known[t] for t in texts), np.uint16).reshape(-1, 16)
+
 
-    return simhash_dedup.fingerprints(*utf8_parts(pa.array(texts, pa.string())))[0]
+def fast_fingerprint(text: str) -> bytes:
+    """As fingerprint, with a table of the features' bits (held against it by a test)."""
+    raw = "".join(c.lower() if c.isascii() or "\xc0" <= c <= "\xde" and c != "\xd7" else c for c in text).encode()
+    words = re.findall(rb"[0-9A-Za-z\x80-\xff]+", raw)
+    words = {w for w in words if len(w) >= 4} or set(words)
+    features = [_bits(w) for w in words] or [_bits_of(_hashed(text.encode()) if text else 0x1234567)]
+    return np.packbits(2 * np.sum(features, axis=0, dtype=np.int64) > len(features), bitorder="little").tobytes()
+
+
+@lru_cache(1 << 18)
+def _bits(word: bytes) -> np.ndarray:
+    return _bits_of(_hashed(word))
+
+
+def _bits_of(f: int) -> np.ndarray:
+    raw = b"".join(_mixed(f + 0x9E3779B97F4A7C15 * (w + 1) & MASK).to_bytes(8, "little") for w in range(4))
+    return np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little")
 
 
 def near_groups(texts: list[str], tau: int) -> list[int]:
@@ -117,3 +165,19 @@ def redacted(text: str, mark: str = "[SECRET]") -> str:
             out += raw[at:a] + mark.encode()
         at = max(at, b)
     return (out + raw[at:]).decode()
+
+
+def classes(x: np.ndarray, ids: list[int], threshold: float) -> list[tuple[int, int, int]]:
+    """(id, least id of the connected component, other rows at or above threshold) of each row; all pairs are compared."""
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    close = unit @ unit.T >= threshold
+    out = []
+    for k in range(len(x)):
+        met, todo = {k}, [k]
+        while todo:
+            for j in np.flatnonzero(close[todo.pop()]).tolist():
+                if j not in met:
+                    met.add(j)
+                    todo.append(j)
+        out.append((ids[k], min(ids[j] for j in met), int(close[k].sum()) - 1))
+    return out

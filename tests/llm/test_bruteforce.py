@@ -64,6 +64,31 @@ def test_embedding_tiles(spark):
     assert {(r["a"], r["b"]) for r in embedding_dedup.near_pairs(d, tile=13).collect()} == want and want
 
 
+@pytest.mark.parametrize("tile", [13, 8192])
+def test_embedding_classes(spark, tile):
+    """Copies, near copies in chains, and lone vectors; some rows twice."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(12, 16))
+    near = np.concatenate([base, *[base[:6] + rng.normal(scale=0.05 * k, size=(6, 16)) for k in (1, 2, 3)], base[:2], base[:2], base[:2]]).astype(np.float32)
+    ids = [*range(100, 100 + len(near))]
+    x, ids = np.concatenate([near, near[:3]]), [*ids, *ids[:3]]
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<float>").repartition(5)
+    want = brute.classes(x, ids, 0.95)
+    assert sorted(map(tuple, embedding_dedup.near_classes(d, tile=tile).collect())) == sorted(want)
+    assert len({c for _, c, _ in want}) < len(set(ids)) and any(n > 3 for _, _, n in want)
+
+
+def test_embedding_classes_of_a_large_group(spark):
+    """A third of the rows are near copies of one another, all different."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(900, 32))
+    x[:300] = x[0] + rng.normal(scale=0.02, size=(300, 32))
+    x = x.astype(np.float32)
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = sorted(map(tuple, embedding_dedup.near_classes(d, tile=200).collect()))
+    assert found == sorted(brute.classes(x, list(range(900)), 0.95)) and sum(n == 299 for _, _, n in found) == 300
+
+
 def test_secrets(spark, docs):
     found = Counter((r["doc_id"], r["rule"], r["match_no"]) for r in secret_scan.find_secrets(spark.createDataFrame(docs, "doc_id long, text string")).collect())
     want = Counter((i, r.name, k) for i, t in docs for r in secret_scan.RULES for k, _ in enumerate(re.finditer(r.pattern.encode(), t.encode()), 1))
@@ -150,16 +175,42 @@ def test_simhash(spark, docs):
     assert len(set(found) & set(want)) >= 0.9 * len(want) and want
 
 
+def test_fingerprints(docs):
+    """Against the definition in plain Python, which the brute force of groups uses."""
+    texts = ["", "   ", "a b", "ÀÉ × Ünïcödé 中文 \U0001f600", "Same same SAME", *[t for _, t in docs[:12]]]
+    fps, _ = simhash_dedup.fingerprints(*brute.utf8_parts(pa.array(texts)))
+    assert [int.from_bytes(f.tobytes(), "little") for f in fps] == [brute.fingerprint(t) for t in texts]
+    assert (brute.prints(texts) == fps).all()
+
+
+def _connected(n: int, pairs) -> np.ndarray:
+    label = np.arange(n)
+    for a, b in pairs:
+        x, y = sorted((label[a], label[b]))
+        label[label == y] = x
+    return label
+
+
 def test_simhash_candidates(docs):
-    """Of all pairs within the distance at least 0.9 meet and pass the chains."""
+    """Of all pairs within the distance at least 0.9 are connected by the edges, which are such pairs or chains of them."""
     texts = [t for _, t in docs]
     want = brute.near_pairs_count(texts, simhash_dedup.TAU)
     fps, keys = simhash_dedup.fingerprints(*brute.utf8_parts(pa.array(texts)))
     order = np.argsort(keys.ravel(), kind="stable")
     nodes = np.repeat(np.arange(len(texts)), keys.shape[1])[order]
-    a, b = simhash_dedup.group_edges(keys.ravel()[order], nodes, fps[nodes], simhash_dedup.TAU)
-    found = set(zip(a.tolist(), b.tolist(), strict=True))
-    assert found <= want and len(found) >= 0.9 * len(want)
+    a, b = simhash_dedup.group_edges(keys.ravel()[order].astype(np.int64), nodes, fps[nodes], simhash_dedup.TAU)
+    label, whole = _connected(len(texts), zip(a.tolist(), b.tolist(), strict=True)), _connected(len(texts), want)
+    assert all(whole[x] == whole[y] for x, y in zip(a.tolist(), b.tolist(), strict=True))
+    assert sum(label[x] == label[y] for x, y in want) >= 0.9 * len(want) and want
+
+
+def test_simhash_hot_buckets_in_blocks(spark, docs):
+    """Buckets cut into blocks of 5 fingerprints give the same components."""
+    d = spark.createDataFrame(docs[:300], "doc_id long, text string")
+    base = d.select("doc_id", F.xxhash64("text").alias("k"), "text")
+    prints = base.mapInArrow(simhash_dedup._fingerprint_rows, "doc_id long, k long, fp binary, keys array<int>").cache()
+    own = [sorted(map(tuple, simhash_dedup.components(simhash_dedup.near_edges(prints, block_rows=n)).collect())) for n in (5, 1 << 17)]
+    assert own[0] == own[1] and own[0]
 
 
 def test_url_rules(spark):

@@ -108,6 +108,10 @@ def test_embeddings(spark):
     d = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"id": F.lit(1), "v": F.lit(2), "i": F.lit(3)})
     assert sorted((r["a"], r["b"]) for r in embedding_dedup.near_pairs(d).collect()) == [(1, 2), (1, 9), (2, 9)]
     assert embedding_dedup.near_pairs(d.limit(0)).count() == 0
+    assert sorted(map(tuple, embedding_dedup.near_classes(d).collect())) == [(1, 1, 2), (2, 1, 2), (2, 2, 0), (7, 7, 0), (9, 1, 2)]
+    assert embedding_dedup.near_classes(d.limit(0)).count() == 0
+    copies = spark.createDataFrame([(k, [0.1, 0.2]) for k in range(3000)], "vec_id long, embedding array<float>")
+    assert embedding_dedup.near_classes(copies).groupBy("class_id", "n_links").count().collect() == [(0, 2999, 3000)]
 
 
 def test_urls(spark):
