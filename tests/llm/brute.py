@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from functools import lru_cache
+from statistics import NormalDist
 
 import numpy as np
 
@@ -181,3 +183,78 @@ def classes(x: np.ndarray, ids: list[int], threshold: float) -> list[tuple[int,
                     todo.append(j)
         out.append((ids[k], min(ids[j] for j in met), int(close[k].sum()) - 1))
     return out
+
+
+def folded_words(text: str) -> list[bytes]:
+    raw = "".join(c.lower() if c.isascii() or "\xc0" <= c <= "\xde" and c != "\xd7" else c for c in text).encode()
+    return re.findall(rb"[0-9A-Za-z\x80-\xff]+", raw)
+
+
+def g_squared(bad: int, good: int, n_bad: int, n_good: int) -> float:
+    total, n = 0.0, n_bad + n_good
+    for seen, group in ((bad, n_bad), (good, n_good)):
+        for x, of in ((seen, bad + good), (group - seen, n - bad - good)):
+            if x:
+                total += x * math.log(x / (of * group / n))
+    return 2 * total
+
+
+def toxicity(rows: list[tuple[int, str]], labels: dict[int, int], floor: float) -> tuple[dict[int, float], dict[int, float]]:
+    """Term hash to polarity, and doc_id to score, by the definitions in the operator's docstring; one text after the other."""
+    from lexigrid.llm import toxicity as op
+
+    texts = {i: folded_words(t) for i, t in rows}
+    seen, bad, good = Counter(), Counter(), Counter()
+    for i, words in texts.items():
+        for w in set(words):
+            seen[w] += 1
+            bad[w] += labels.get(i) == 1
+            good[w] += labels.get(i) == 0
+    n, n_bad, n_good = len(rows), sum(labels.get(i) == 1 for i in texts), sum(labels.get(i) == 0 for i in texts)
+    tests = sum(b > 0 for b in bad.values())
+    lean, seed = (NormalDist().inv_cdf(1 - min(0.5, f / tests)) ** 2 if f / tests < 0.5 else 0.0 for f in (op.LEAN_FALSE, op.SEED_ERROR))
+    g = {w: g_squared(bad[w], good[w], n_bad, n_good) for w in seen}
+    odds = {w: math.log((bad[w] + 0.5) / (n_bad - bad[w] + 0.5)) - math.log((good[w] + 0.5) / (n_good - good[w] + 0.5)) for w in seen}
+    nodes = sorted(w for w in seen if odds[w] > 0 and g[w] >= lean or op.NODE_SHARE <= seen[w] / n <= op.NODE_MAX)
+    pairs: Counter = Counter()
+    known = set(nodes)
+    own = {i: [w for w in words if w in known] for i, words in texts.items()}
+    for words in own.values():
+        for k, a in enumerate(words):
+            for b in words[k + 1 : k + 1 + op.WINDOW]:
+                if a != b:
+                    pairs[min(a, b), max(a, b)] += 1
+    margin: Counter = Counter()
+    for (a, b), c in pairs.items():
+        margin[a] += c
+        margin[b] += c
+    total = sum(margin.values())
+    edges = {p: math.log(c * total / (margin[p[0]] * margin[p[1]])) for p, c in pairs.items() if c >= op.MIN_COUNT}
+    edges = {p: w for p, w in edges.items() if w > 0}
+    out: Counter = Counter()
+    for (a, b), w in edges.items():
+        out[a] += w
+        out[b] += w
+    visits = []
+    for start in ({w: g[w] for w in nodes if g[w] >= seed and odds[w] >= op.SEED_ODDS}, {w: 1.0 for w in nodes if odds[w] <= 0}):
+        whole = sum(start.values()) or 1
+        start = {w: x / whole for w, x in start.items()}
+        p = dict(start)
+        for _ in range(op.STEPS):
+            moved: dict = defaultdict(float)
+            for (a, b), w in edges.items():
+                moved[b] += p.get(a, 0) / out[a] * w
+                moved[a] += p.get(b, 0) / out[b] * w
+            stuck = sum(x for w, x in p.items() if not out[w])
+            p = {w: op.RESTART * start.get(w, 0) + (1 - op.RESTART) * (moved[w] + stuck * start.get(w, 0)) for w in nodes}
+        visits.append(p)
+    polarity = {w: (visits[0][w] - visits[1][w]) / (visits[0][w] + visits[1][w] + 1 / len(nodes)) for w in nodes}
+    clear = {w: x for w, x in polarity.items() if abs(x) >= floor}
+    sums = {i: sum(clear.get(w, 0) for w in words) for i, words in texts.items()}
+    mass = {i: sum(clear.get(w, 0) ** 2 for w in words) for i, words in texts.items()}
+    clean = [i for i in texts if labels.get(i) == 0]
+    words = sum(len(texts[i]) for i in clean) or 1
+    mean, spread = sum(sums[i] for i in clean) / words, sum(mass[i] for i in clean) / words
+    scores = {i: (sums[i] - len(t) * mean) / math.sqrt(1 + len(t) * spread) for i, t in texts.items()}
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    return {signed(_hashed(w)): x for w, x in polarity.items()}, scores

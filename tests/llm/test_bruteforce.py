@@ -249,6 +249,33 @@ def test_toxicity_on_labels_it_has_not_seen(spark):
     assert hit >= 0.8 * toxic and wrong <= 0.02 * (len(held) - toxic)
 
 
+def test_toxicity_is_the_plain_walk(spark):
+    """Polarities and scores against the definitions in plain Python, over texts in which toxic words keep company."""
+    r = random.Random(11)
+    plain = [f"w{k}" for k in range(60)]
+    bad = ["idiot", "scum", "vermin", "Trottel"]
+    rows, labels = [], {}
+    for i in range(700):
+        words = [r.choice(plain) for _ in range(r.randint(3, 12))] + ["the", "the"]
+        r.shuffle(words)
+        if i % 7 == 0:
+            words[2:2] = [*r.sample(bad, 4), *r.sample(bad, 3)]
+        rows.append((i, " ".join(words)))
+        if i % 2 == 0:
+            labels[i] = int(i % 7 == 0)
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    told = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    encoded, lexicon = toxicity.induce(d, told)
+    own, threshold, floor = toxicity.scored(encoded, lexicon, told)
+    polarity, scores = brute.toxicity(rows, labels, floor)
+    found = dict(zip(lexicon.hashes.view(np.int64).tolist(), lexicon.weights.tolist(), strict=True))
+    assert set(found) == set(polarity) and all(found[h] == pytest.approx(polarity[h], abs=1e-9) for h in found)
+    assert max(polarity.values()) > floor and threshold < float("inf")
+    own = {x["doc_id"]: x["score"] for x in own.collect()}
+    assert all(own[i] == pytest.approx(scores[i], abs=1e-4) for i in scores) and len(own) == len(scores)
+    assert {x["doc_id"] for x in toxicity.toxic_documents(d, told).collect()} == {i for i in range(700) if i % 7 == 0}
+
+
 @pytest.fixture(scope="module")
 def codec():
     import base64
