@@ -112,7 +112,8 @@ def _without(docs: DataFrame, cuts: DataFrame, doc_id: str, text: str, n_chars:
     k, gone, sid, sk = fresh(docs, "k", "gone", "sid", "sk")
     cuts = cuts.groupBy(F.col("doc_id").alias(sid), F.col("k").alias(sk)).agg(F.flatten(F.collect_list(F.sequence(F.col("first"), F.col("first") + F.col("lines") - 1))).alias(gone))
     joined = docs.withColumn(k, F.xxhash64(quoted(text))).join(cuts, (F.col(k) == F.col(sk)) & quoted(doc_id).eqNullSafe(F.col(sid)), "left")
-    left = F.array_join(F.filter(F.split(quoted(text), "\n"), lambda line, i: ~F.array_contains(F.col(gone), i)), "\n")
+    # split once; the numbers that stay by hashing, not by a search for each line
+    left = F.element_at(F.transform(F.array(F.split(quoted(text), "\n")), lambda ls: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col(gone)), lambda i: F.element_at(ls, i + 1)), "\n")), 1)
     new = F.when(F.col(gone).isNull(), quoted(text)).otherwise(left)
     out = []
     for field in docs.schema.fields:
