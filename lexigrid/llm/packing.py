@@ -18,9 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexigrid.llm.common import quoted
+from lexigrid.llm.common import SPACE, blocks, quoted, runs, utf8_parts, written
 
-CAPACITY, CLASSES, STEPS, EPSILON, SALT = 2048, 512, 2000, 0.05, 64
+#: PART_ROWS: pieces of one class that one task ranks, about; MOST: rows of a table that is broadcast.
+CAPACITY, CLASSES, STEPS, EPSILON, PART_ROWS, MOST = 2048, 512, 2000, 0.05, 1 << 16, 1 << 20
 
 Pattern = tuple[tuple[int, int], ...]
 
@@ -116,47 +117,53 @@ def _bin_of(patterns: list[tuple[Pattern, int]]) -> dict[int, tuple[np.ndarray,
 
 
 def words(text: Column) -> Column:
-    """White-space separated words."""
-    return F.regexp_count(text, F.lit(r"[^ \t\n\r\f\u000b]+"))
+    """White-space separated words, counted a block of texts at a time."""
 
+    def run(texts: pa.Array) -> pa.Array:
+        data, offsets = utf8_parts(texts)
+        out = [np.empty(0, np.int64)]
+        for a, b in blocks(offsets):
+            *_, rows = runs(~SPACE[data[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a])
+            out.append(np.bincount(rows, minlength=b - a))
+        return pa.array(np.concatenate(out), mask=texts.is_null().to_numpy(zero_copy_only=False))
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, doc_id: str = "doc_id", length: Column | None = None, text: str = "text", classes: int = CLASSES, salt: int = SALT) -> DataFrame:
+    return F.arrow_udf(run, T.LongType())(text)
+
+
+def pack(docs: DataFrame, capacity: int = CAPACITY, doc_id: str = "doc_id", length: Column | None = None, text: str = "text", classes: int = CLASSES, part_rows: int = PART_ROWS) -> DataFrame:
     """A row (bin_id, doc_id, piece, start, length) for each piece of each text; a bin's lengths sum to capacity at most.
 
-    length is the text's length in tokens, words by default. Texts of null or of length 0 have no piece. Very long texts: as many full
-    pieces as they hold, and the rest. Repeated rows: packed as often as they come. Null doc_id: packed, stays null. Ties in length: dealt
-    by doc_id, so that the result is the same whatever the partitions. Empty table: empty result. Other columns: unread.
+    length is the text's length in tokens, words by default; the texts are read once, for it. Texts of null or of length 0 have no piece.
+    Very long texts: as many full pieces as they hold, and the rest. Repeated rows: packed as often as they come. Null doc_id: packed, stays
+    null. Ties in length: dealt by doc_id, so that the result is the same whatever the partitions. Empty table: empty result. Other
+    columns: unread. A class with many pieces is ranked in parts, as many as the number of pieces asks for.
     """
     unit = max(1, capacity // classes)
     room = capacity // unit
     size = F.coalesce(words(quoted(text)) if length is None else length, F.lit(0)).cast("long")
-    base = docs.select(quoted(doc_id).alias("doc_id"), size.alias("n")).where("n > 0")
+    base = written(docs.select(quoted(doc_id).alias("doc_id"), size.alias("n")).where("n > 0"), "lengths")
     pieces = base.select("doc_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {capacity}"))).alias("piece"))
     pieces = pieces.select("doc_id", F.col("piece").cast("int").alias("piece"), (F.col("piece") * capacity).alias("start"), F.least(F.lit(capacity).cast("long"), F.col("n") - F.col("piece") * capacity).cast("int").alias("length"))
     # a full piece fills its bin even if the classes don't divide the capacity
     pieces = pieces.withColumn("size", F.when(F.col("length") > (room - 1) * unit, room).otherwise(F.expr(f"cast((length + {unit - 1}) div {unit} as int)")))
+    salt = max(1, math.ceil((base.agg(F.sum(F.expr(f"(n - 1) div {capacity} + 1"))).first()[0] or 0) / part_rows))
     pieces = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salt)).cast("int"))
-    counts = pieces.groupBy("size", "part").agg(F.count("*").alias("n")).collect()  # at most classes x salt rows
-    histogram: Counter = Counter()
-    before: dict[tuple[int, int], int] = {}
-    for row in sorted(counts):
-        before[row["size"], row["part"]] = histogram[row["size"]]
-        histogram[row["size"]] += row["n"]
-    tables = _bin_of(plan(dict(histogram), room))
-
-    def bins(size: pa.Array, part: pa.Array, rank: pa.Array) -> pa.Array:
-        s, p, r = (x.to_numpy(zero_copy_only=False) for x in (size, part, rank))
+    counts = written(pieces.groupBy("size", "part").agg(F.count("*").alias("n")), "histogram")
+    histogram = {r["size"]: r["n"] for r in counts.groupBy("size").agg(F.sum("n").alias("n")).collect()}  # a row for each class
+    tables = _bin_of(plan(histogram, room))
+    before = counts.select("size", "part", F.expr("coalesce(sum(n) OVER (PARTITION BY size ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)").alias("before"))
+
+    def bins(size: pa.Array, rank: pa.Array) -> pa.Array:
+        s, overall = (x.to_numpy(zero_copy_only=False) for x in (size, rank))
         out = np.empty(len(s), np.int64)
-        for one in np.unique(s):
-            own = np.flatnonzero(s == one)
-            starts = np.zeros(salt, np.int64)
-            for q in range(salt):
-                starts[q] = before.get((int(one), q), 0)
-            overall = r[own] - 1 + starts[p[own]]
-            first, n, at = tables[int(one)]
-            k = np.searchsorted(first, overall, "right") - 1
-            out[own] = at[k] + (overall - first[k]) // n[k]
+        order = np.argsort(s, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(s[order])) + 1) if len(s) else []:
+            first, n, at = tables[int(s[own[0]])]
+            k = np.searchsorted(first, overall[own], "right") - 1
+            out[own] = at[k] + (overall[own] - first[k]) // n[k]
         return pa.array(out)
 
     ranked = pieces.withColumn("rank", F.expr("row_number() OVER (PARTITION BY size, part ORDER BY doc_id, piece, length)").cast("long"))
-    return ranked.select(F.arrow_udf(bins, T.LongType())("size", "part", "rank").alias("bin_id"), "doc_id", "piece", "start", "length")
+    small = len(histogram) * salt <= MOST
+    placed = ranked.join(F.broadcast(before) if small else before, ["size", "part"])
+    return placed.select(F.arrow_udf(bins, T.LongType())("size", F.col("before") + F.col("rank") - 1).alias("bin_id"), "doc_id", "piece", "start", "length")
