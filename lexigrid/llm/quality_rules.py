@@ -1,8 +1,10 @@
 """Quality rules (operator 10): a short-circuit cascade of document rules.
 
-Every rule is a JVM expression over the text. On a random sample of bounded size each rule's cost (seconds a document) and
-rejection rate are measured; the rules then run by falling rejections per cost, and a document leaves at its first rejection.
-The order decides only the speed: a document is kept when no rule rejects it.
+Every rule is a JVM expression over the text. On a random sample of bounded size each rule's cost (seconds a document, the time of a job
+without the rule taken off) and rejection rate are measured; the rules then run by falling rejections per cost, and a document leaves at
+its first rejection. The order decides only the speed: a document is kept when no rule rejects it.
+
+A rule whose signs are rare asks for them first, by a plain search, and counts words only where they are.
 """
 
 from __future__ import annotations
@@ -26,8 +28,9 @@ class Rule:
 
 
 def _share(text: Column, pattern: str) -> Column:
-    """Matches of pattern for each word."""
-    return F.regexp_count(text, F.lit(pattern)) / F.greatest(F.regexp_count(text, F.lit(r"[^ \n\t\r]+")), F.lit(1))
+    """Matches of pattern for each word; words are counted only where there is a match."""
+    hits = F.regexp_count(text, F.lit(pattern))
+    return F.when(hits == 0, 0.0).otherwise(hits / F.greatest(F.regexp_count(text, F.lit(r"[^ \n\t\r]+")), F.lit(1)))
 
 
 def _share_sql(pattern: str) -> str:
@@ -52,8 +55,8 @@ def _repeated_lines(text: Column) -> Column:
 RULES = (
     Rule("no_letters", lambda t: ~t.rlike(r"[A-Za-zª-￿]"), r"NOT regexp_matches({t}, '[A-Za-z\x{00aa}-\x{ffff}]')"),
     Rule("symbol_words", lambda t: _share(t, r"[#$%&*]{3}") > 0.2, _share_sql(r"[#$%&*]{3}") + " > 0.2"),
-    Rule("pipes", lambda t: _share(t, r"\|") > 0.2, _share_sql(r"\|") + " > 0.2"),
-    Rule("shouting", lambda t: _share(t, r"[A-Z]{2,}[^ \n]*!!") > 0.2, _share_sql(r"[A-Z]{2,}[^ \n]*!!") + " > 0.2"),
+    Rule("pipes", lambda t: F.contains(t, F.lit("|")) & (_share(t, r"\|") > 0.2), _share_sql(r"\|") + " > 0.2"),
+    Rule("shouting", lambda t: F.contains(t, F.lit("!!")) & (_share(t, r"[A-Z]{2,}[^ \n]*!!") > 0.2), _share_sql(r"[A-Z]{2,}[^ \n]*!!") + " > 0.2"),
     Rule("repeated_words", lambda t: _repeats(t) > 0.2, REPEATS_SQL + " > 0.2"),
     Rule("repeated_lines", lambda t: _repeated_lines(t) > 0.5, r"1 - len(list_distinct(string_split({t}, chr(10)))) / len(string_split({t}, chr(10))) > 0.5"),
 )
@@ -70,8 +73,12 @@ class Measured:
         return self.rejected / max(self.seconds, 1e-9)
 
 
-def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", sample_rows: int = 2000, seed: int = 7) -> list[Measured]:
-    """Cost and selectivity of each rule on a uniform sample of about sample_rows rows (the bound is this parameter)."""
+def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", sample_rows: int = 2000, seed: int = 7, rounds: int = 3, repeats: int = 4) -> list[Measured]:
+    """Cost and selectivity of each rule on a uniform sample of about sample_rows rows (the bound is this parameter).
+
+    A rule judges each row of the sample `repeats` times, in `rounds` jobs of which the fastest counts, less the fastest of as many jobs that
+    judge nothing: what is left is the rule's own work, not that of planning and starting a job.
+    """
     n = docs.count()
     sample = docs.select(quoted(text).alias("t")).where(F.col("t").isNotNull())
     if n > sample_rows:
@@ -79,12 +86,21 @@ def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
     sample = sample.coalesce(4).persist()
     try:
         rows = sample.agg(F.count("*")).first()[0]
+        many = sample.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(repeats)))).where("again > 0")
+
+        def fastest(condition: Column) -> tuple[float, int]:
+            query, times = many.agg(F.count(F.when(condition, 1))), []
+            for _ in range(rounds):
+                began = time.perf_counter()
+                hit = query.first()[0]
+                times.append(time.perf_counter() - began)
+            return min(times), hit
+
+        idle, _ = fastest(F.col("t").isNull())
         out = []
         for rule in rules:
-            query = sample.agg(F.count(F.when(rule.rejects(F.col("t")), 1)))
-            began = time.perf_counter()
-            hit = query.first()[0]
-            out.append(Measured(rule.name, (time.perf_counter() - began) / max(rows, 1), hit / max(rows, 1)))
+            took, hit = fastest(rule.rejects(F.col("t")))
+            out.append(Measured(rule.name, max(took - idle, 1e-4) / max(rows * repeats, 1), hit / max(rows * repeats, 1)))
         return out
     finally:
         sample.unpersist()
