@@ -54,14 +54,20 @@ class Session:
     tracked: list[str] | None = None
 
     def apply(self, change: object) -> str:
-        """change: from the current table to the new one. The new version's name, published; Rejected, with nothing published, otherwise."""
+        """change: from the current table to the new one. The new version's name, published; Rejected, with nothing published, otherwise.
+
+        An empty store has no current table: change gets None, and all counts begin at 0. A rejected version's files are removed.
+        """
         current = self.store.current()
         version = self.store.stage(change(current))
         candidate = self.store.spark.read.parquet(f"{self.store.root}/{version}")
-        columns = self.tracked or sorted({*current.columns, *candidate.columns})
-        found = {r["name"]: r["delta"] for r in snapshot_diff(snapshot(current, columns), snapshot(candidate, columns)).collect()}  # a row for each column
+        columns = self.tracked or sorted({*(current.columns if current is not None else ()), *candidate.columns})
+        after = snapshot(candidate, columns)
+        before = snapshot(current, columns) if current is not None else after.limit(0)
+        found = {r["name"]: r["delta"] for r in snapshot_diff(before, after).collect()}  # a row for each column
         undeclared = {n: (self.expect.get(n) or 0, found.get(n, 0)) for n in {*found, *self.expect} if not (n in self.expect and self.expect[n] is None) and found.get(n, 0) != (self.expect.get(n) or 0)}
         if undeclared:
+            self.store.discard(version)
             raise Rejected(undeclared)
         self.store.publish(version)
         return version

@@ -116,10 +116,20 @@ def guarded(df: DataFrame, changes: DataFrame, column: str, key: str = "id") ->
     return updated, rejected
 
 
-def reverted(df: DataFrame, ledger: DataFrame, column: str, key: str = "id", blocked: DataFrame | None = None) -> DataFrame:
-    """df with the ledger's changes undone where they still stand; ids in blocked are left as they are. Of several entries the first's before counts."""
+def reverted(df: DataFrame, ledger: DataFrame, column: str, key: str = "id", blocked: DataFrame | None = None, order: str | None = None) -> DataFrame:
+    """df with the ledger's changes undone where the last of them still stands; ids in blocked are left as they are.
+
+    Of several entries for a key, in the order of the ledger's column `order`, the first's before is restored if the value is the last's
+    after. Without an order a key's entries must form a chain: the first is the one whose before no other has as its after, the last
+    likewise; where no chain has such ends the least and the greatest count.
+    """
     undo = ledger if blocked is None else ledger.join(blocked.select(key).distinct(), key, "left_anti")
-    return guarded(df, undo.select(key, F.col("after").alias("before"), F.col("before").alias("after")).dropDuplicates([key]), column, key)[0]
+    if order:
+        ends = undo.groupBy(key).agg(F.max_by("after", order).alias("before"), F.min_by("before", order).alias("after"))
+    else:
+        own = undo.groupBy(key).agg(F.collect_set("before").alias("b"), F.collect_set("after").alias("a"), F.min("before").alias("least"), F.max("after").alias("most"))
+        ends = own.select(key, F.coalesce(F.array_max(F.array_except("a", "b")), "most").alias("before"), F.coalesce(F.array_min(F.array_except("b", "a")), "least").alias("after"))
+    return guarded(df, ends, column, key)[0]
 
 
 def response_applied(df: DataFrame, replies: DataFrame, column: str, key: str = "id", gates: list[tuple[str, Column]] = ()) -> tuple[DataFrame, DataFrame]:

@@ -79,7 +79,7 @@ def regression(t: Tables) -> DataFrame:
     return sampling.regression(t.customer.select(s.alias("b"), after.alias("a"), truth.alias("t")), "b", "a", "t")
 
 
-_GATE = """WITH RECURSIVE e AS (SELECT {client} AS client, event_id, epoch_ms(ts) AS ms FROM {source}),
+_GATE = """WITH RECURSIVE e AS (SELECT {client} AS client, event_id, epoch_us(ts) // 1000 AS ms FROM {source}),
 w(client, start) AS (SELECT client, min(ms) FROM e GROUP BY client UNION ALL SELECT w.client, (SELECT min(ms) FROM e WHERE e.client = w.client AND e.ms >= w.start + {window}) FROM w WHERE w.start IS NOT NULL),
 h AS (SELECT e.client, e.event_id, e.ms, row_number() OVER (PARTITION BY e.client, v.start ORDER BY e.ms, e.event_id) AS hits FROM e JOIN (SELECT client, start, lead(start, 1, 9223372036854775807) OVER (PARTITION BY client ORDER BY start) AS next FROM w WHERE start IS NOT NULL) v ON e.client = v.client AND e.ms >= v.start AND e.ms < v.next)"""
 

@@ -6,6 +6,7 @@ Tables are immutable folders of Parquet. An update writes a new version and move
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,18 +20,43 @@ def with_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns})
 
 
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path in the folder that all executors share, spark.checkpoint.dir; one of this machine only in local mode without that setting."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="lexigrid-")
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def dense_ids(df: DataFrame, order: list[Column | str], name: str = "id", first: int = 1) -> DataFrame:
-    """Numbers first, first + 1, ... in this order. Ranges are sorted in parallel; only each range's count goes to the driver."""
+    """Numbers first, first + 1, ... in this order. Ranges are sorted in parallel; only each range's count goes to the driver.
+
+    The sorted ranges are written once to the shared folder, each row with its range and its place there: a range shuffle that ran again,
+    for the counts or after a loss, could draw other borders.
+    """
     spark = df.sparkSession
-    sortable = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
-    counts = sorted((r["_part"], r["count"]) for r in sortable.groupBy("_part").count().collect())
+    part, at, start = (_free(df, n) for n in ("_part", "_at", "_start"))
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(part, F.spark_partition_id()).withColumn(at, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    path = shared_path(spark, "ranges")
+    ranged.write.parquet(path)
+    kept = spark.read.schema(ranged.schema).parquet(path)
+    counts = sorted((r[part], r["count"]) for r in kept.groupBy(part).count().collect())  # a row for each range
     starts, total = [], first
-    for part, n in counts:
-        starts.append((part, total))
+    for number, n in counts:
+        starts.append((number, total))
         total += n
-    offsets = spark.createDataFrame(starts, "_part int, _start long")
-    within = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    return sortable.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_start") + within).drop("_part", "_at", "_start")
+    offsets = spark.createDataFrame(starts, f"{part} int, {start} long")
+    return kept.join(F.broadcast(offsets), part).withColumn(name, F.col(start) + F.col(at)).select(*df.columns, name)
+
+
+def _free(df: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def clustered(df: DataFrame, key: Column, path: str, files: int | None = None) -> None:
@@ -85,6 +111,12 @@ class Store:
         if not self._fs.rename(temporary, self._path(f"{pointers}/{number:08d}")):
             raise RuntimeError("another writer published in between")
 
+    def discard(self, version: str) -> None:
+        """Removes a version that was never published."""
+        if version in self.versions():
+            raise ValueError(f"{version} was published")
+        self._fs.delete(self._path(f"{self.root}/{version}"), True)
+
     def restore(self, version: str) -> None:
         """An older version becomes the current one again."""
         if version not in self.versions():

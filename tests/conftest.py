@@ -41,9 +41,11 @@ def plain(value: object) -> object:
         return None
     if isinstance(value, bool):
         return str(value)
-    if isinstance(value, (int, float, decimal.Decimal)):
+    if isinstance(value, int) or isinstance(value, decimal.Decimal) and value == value.to_integral_value():
+        return f"{int(value)}"
+    if isinstance(value, (float, decimal.Decimal)):
         number = float(value)
-        return "nan" if math.isnan(number) else f"{number:.6g}"
+        return "nan" if math.isnan(number) else f"{int(number)}" if number.is_integer() else f"{number:.9g}"
     if isinstance(value, (list, tuple)):
         return tuple(plain(v) for v in value)
     if isinstance(value, dict):

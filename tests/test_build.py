@@ -230,3 +230,21 @@ def test_random_order_of_dense_ids(spark):
     random.Random(4).shuffle(values)
     d = sinks.dense_ids(spark.createDataFrame([(v,) for v in values], "v long").repartition(5), ["v"])
     assert {r["v"]: r["id"] for r in d.collect()} == {v: v + 1 for v in range(500)}
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_dense_ids_over_many_ranges(spark, adaptive):
+    """Two million rows in 32 ranges: each number once, in the order of the values."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "32")
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        n = 2_000_000
+        d = sinks.dense_ids(spark.range(0, n, 1, 16).select(F.xxhash64("id").alias("v")), ["v"])
+        w = d.agg(F.count("*"), F.countDistinct("id"), F.min("id"), F.max("id")).first()
+        assert tuple(w) == (n, n, 1, n)
+        best = d.withColumn("bucket", F.col("id").cast("long").bitwiseAND(F.lit(-1)) / 1000).groupBy(F.floor("bucket").alias("b")).agg(F.min("v").alias("low"), F.max("v").alias("high")).orderBy("b").collect()
+        assert all(a["high"] < b["low"] for a, b in zip(best, best[1:]))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)

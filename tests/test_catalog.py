@@ -10,7 +10,7 @@ from tests.conftest import DATA, check_against_sql
 
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_against_sql(spark, name):
-    check_against_sql(spark, catalog.queries()[name], catalog.oracle_sql()[name])
+    check_against_sql(spark, catalog.queries()[name], catalog.oracle_sql()[name], "sf0.01")
 
 
 @pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(catalog.oracle_sql())))
