@@ -63,10 +63,10 @@ SUBSTRING_SQL = r"""
 WITH texts AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\v\f\r]+'), lambda x: x <> '') AS w FROM documents),
 places AS (SELECT doc_id, unnest(range(1, len(w) - {n} + 2)) AS i, w FROM texts WHERE len(w) >= {n}),
 windows AS (SELECT doc_id, i, array_to_string(w[i:i + {n} - 1], ' ') AS g FROM places),
-repeated AS (SELECT doc_id, i FROM windows WHERE g IN (SELECT g FROM windows GROUP BY g HAVING count(*) > 1)),
-steps AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + {n} THEN 0 ELSE 1 END AS new FROM repeated),
-islands AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM steps)
-SELECT doc_id, min(i) - 1 AS start_token, max(i) - 1 + {n} AS end_token FROM islands GROUP BY doc_id, run
+repeated AS (SELECT doc_id, i, doc_id = d AND i = p AS first FROM windows JOIN (SELECT g, min((doc_id, i)) AS m, m[1] AS d, m[2] AS p FROM windows GROUP BY g HAVING count(*) > 1) USING (g)),
+tokens AS (SELECT doc_id, t, bool_or(first) AS kept FROM (SELECT doc_id, first, unnest(range(i - 1, i - 1 + {n})) AS t FROM repeated) GROUP BY doc_id, t),
+steps AS (SELECT doc_id, t, kept, t - row_number() OVER (PARTITION BY doc_id, kept ORDER BY t) AS run FROM tokens)
+SELECT doc_id, min(t) AS start_token, max(t) + 1 AS end_token, kept FROM steps GROUP BY doc_id, kept, run
 """.replace("{n}", str(substring_dedup.WINDOW))
 
 

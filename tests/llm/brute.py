@@ -134,27 +134,37 @@ def near_pairs_count(texts: list[str], tau: int) -> set[tuple[int, int]]:
     return {(i, i + 1 + int(j)) for i in range(len(texts)) for j in np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ fps[i]).sum(axis=1) <= tau)}
 
 
-def repeated_intervals(rows: list[tuple], window: int) -> Counter:
-    count: Counter = Counter()
+def repeated_intervals(spark, rows: list[tuple], window: int) -> Counter:
+    """(doc_id, start, end, kept) of the tokens in windows that occur at least twice, by whether a first occurrence covers them."""
+    known = hashes_of(spark, [t for _, t in rows if t is not None])
+    at: dict[tuple, list] = defaultdict(list)
     own = []
+    copy: Counter = Counter()
     for i, t in rows:
-        words = [w for w in re.split(r"[ \t\n\v\f\r]+", t or "") if w]
+        if t is None:
+            continue
+        words = [w for w in re.split(r"[ \t\n\v\f\r]+", t) if w]
+        rank = (i is not None, i or 0, known[t], copy[i, t])
+        copy[i, t] += 1
         grams = [tuple(words[k : k + window]) for k in range(len(words) - window + 1)]
-        count.update(grams)
-        own.append((i, grams))
+        for k, g in enumerate(grams):
+            at[g].append((rank[:3], k, rank[3]))
+        own.append((i, rank, grams))
+    first = {g: min(places) for g, places in at.items() if len(places) > 1}
     out: Counter = Counter()
-    for i, grams in own:
-        start = end = None
+    for i, rank, grams in own:
+        kind: dict[int, bool] = {}
         for k, g in enumerate(grams):
-            if count[g] > 1:
-                if end is not None and k <= end:
-                    end = k + window
-                else:
-                    if end is not None:
-                        out[i, start, end] += 1
-                    start, end = k, k + window
-        if end is not None:
-            out[i, start, end] += 1
+            if g in first:
+                mine = first[g] == (rank[:3], k, rank[3])
+                for token in range(k, k + window):
+                    kind[token] = kind.get(token, False) or mine
+        start = None
+        for token in sorted(kind):
+            if start is None or token - 1 not in kind or kind[token] != kind[token - 1]:
+                start = token
+            if kind.get(token + 1) != kind[token]:
+                out[i, start, token + 1, kind[token]] += 1
     return out
 
 

@@ -105,18 +105,38 @@ def test_trigram_queries_never_miss(pattern):
     assert found == {(row, k) for row, t in enumerate(texts) for k, _ in enumerate(re.finditer(pattern, t), 1)}
 
 
-def test_substrings(spark, docs):
-    some = docs[:300] + [(None, "a b c d e f g h"), (7001, "z a b c d e f y"), (7001, "z a b c d e f y")]
+@pytest.mark.parametrize("hot", [2, 50_000])
+def test_substrings(spark, docs, hot):
+    some = docs[:300] + [(None, "a b c d e f g h"), (7001, "z a b c d e f y"), (7001, "z a b c d e f y"), (7001, "q a b c d e f y"), (7002, "r s t u v " * 30), (7003, "s t u v r " * 20), (None, "a b c d e f g h")]
+    d = spark.createDataFrame(some, "doc_id long, text string").repartition(6)
     for window in (5, 50):
-        found = substring_dedup.repeated_intervals(spark.createDataFrame(some, "doc_id long, text string"), window=window, ranges=5)
-        assert Counter(map(tuple, found.collect())) == brute.repeated_intervals(some, window)
+        found = Counter(map(tuple, substring_dedup.repeated_intervals(d, window=window, hot_least=hot).collect()))
+        assert found == brute.repeated_intervals(spark, some, window)
+        assert any(kept for *_, kept in found) and not all(kept for *_, kept in found)
 
 
 def test_planted_passage_is_caught_whole(spark, docs):
     passage = " ".join(f"planted{k}" for k in range(60))
     some = [*docs[:50], (9001, f"one two {passage} three"), (9002, f"{passage} four")]
-    found = {tuple(r) for r in substring_dedup.repeated_intervals(spark.createDataFrame(some, "doc_id long, text string")).collect()}
-    assert {(9001, 2, 62), (9002, 0, 60)} <= found
+    d = spark.createDataFrame(some, "doc_id long, text string")
+    found = {tuple(r) for r in substring_dedup.repeated_intervals(d).collect()}
+    assert {(9001, 2, 62, True), (9002, 0, 60, False)} <= found
+    left = {r["doc_id"]: r["text"] for r in substring_dedup.drop_repeated(d).collect()}
+    assert left[9001] == some[50][1] and left[9002] == " four"
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab ", max_size=40), max_size=6), st.integers(2, 6))
+def test_equal_windows_share_their_anchor(texts, window):
+    text, place, hashes, anchors, at = substring_dedup.windows_of(*brute.utf8_parts(pa.array(texts, pa.string())), window)
+    words = [t.split() for t in texts]
+    grams = [tuple(words[i][p : p + window]) for i, p in zip(text.tolist(), place.tolist(), strict=True)]
+    assert [len(g) for g in grams] == [window] * sum(max(0, len(w) - window + 1) for w in words)
+    by: dict = {}
+    for g, h, a in zip(grams, hashes.tolist(), anchors.tolist(), strict=True):
+        assert by.setdefault(g, (h, a)) == (h, a)
+    assert len({h for h, _ in by.values()}) == len(by)
+    assert all(0 <= x for x in np.diff(at))
 
 
 def _bins(rows, capacity: int) -> dict[int, int]:
