@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexigrid.queries import entries, folds, language, lookups, merges, quality  # noqa: F401
+from lexigrid.queries import entries, folds, language, lookups, merges, policies, quality, texts  # noqa: F401
 from lexigrid.queries.registry import QUERIES, SQL, Query
 
 

@@ -1,13 +1,14 @@
 """Text expressions: foldings, lines, patterns and the small notations that dictionary columns are written in.
 
 Two foldings coexist: `ascii_fold` (letters of ASCII only, as look-ups compare) and `unaccent` (all marks gone, as search keys are made).
-Everything but `unaccent` and what builds on it is a JVM expression.
+Everything is a JVM expression but the repair of JSON, and `unaccent` for the few signs that decompose into several.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -39,9 +40,36 @@ def string_udf(fn) -> object:
     return F.arrow_udf(_mapped(fn), T.StringType())
 
 
+@lru_cache(1)
+def _letters() -> tuple[str, str, str]:
+    """The letters that lose a mark or case for one other sign, those signs, and a class of the letters that become several signs."""
+    before, after, rest = [], [], []
+    for code in [*range(0x80, 0xD800), *range(0xE000, 0x10000)]:
+        sign = chr(code)
+        new = strip_marks(sign)
+        if len(new) == 1 and new != sign:
+            before.append(sign)
+            after.append(new)
+        elif len(new) > 1:
+            rest.append(code)
+    spans: list[list[int]] = []
+    for code in rest:
+        if spans and spans[-1][1] == code - 1:
+            spans[-1][1] = code
+        else:
+            spans.append([code, code])
+    return "".join(before), "".join(after), "[" + "".join(f"\\u{x:04X}-\\u{y:04X}" for x, y in spans) + r"\x{10000}-\x{10FFFF}]"
+
+
 def unaccent(c: Column) -> Column:
-    """Lower case without combining marks. Texts of ASCII alone never leave the JVM's own lower()."""
-    return F.when(c.rlike(r"^\p{ASCII}*$"), F.lower(c)).otherwise(string_udf(strip_marks)(c))
+    """Lower case without combining marks: letters by a table, marks by their class, both in the JVM.
+
+    Only texts with signs that decompose into several (Korean syllables and the like) or lie beyond the basic plane go to Python.
+    """
+    before, after, several = _letters()
+    plain = F.lower(F.regexp_replace(F.translate(c, before, after), r"\p{Mn}", ""))
+    odd = c.rlike(several)
+    return F.when(odd, string_udf(strip_marks)(F.when(odd, c))).otherwise(plain)
 
 
 def search_key(c: Column, lang: str) -> Column:

@@ -98,8 +98,9 @@ def difference_pairs(df: DataFrame, before: str, after: str) -> DataFrame:
         return pa.array(out, pa.list_(pa.struct([("old", pa.string()), ("new", pa.string())])))
 
     kind = T.ArrayType(T.StructType([T.StructField("old", T.StringType()), T.StructField("new", T.StringType())]))
-    pairs = df.where(F.col(before) != F.col(after)).select(F.explode(F.arrow_udf(run, kind)(F.col(before), F.col(after))).alias("p"))
-    return pairs.groupBy("p.old", "p.new").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "old", "new")
+    distinct = df.where(F.col(before) != F.col(after)).groupBy(F.col(before).alias("b"), F.col(after).alias("a")).agg(F.count("*").alias("n"))  # each pair is compared once
+    pairs = distinct.select("n", F.explode(F.arrow_udf(run, kind)(F.col("b"), F.col("a"))).alias("p"))
+    return pairs.groupBy("p.old", "p.new").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "old", "new")
 
 
 def cost(tokens_in: Column, tokens_out: Column, at: Column, price_in: float, price_out: float, peak: tuple[int, int] = (9, 18)) -> Column:

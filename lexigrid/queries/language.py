@@ -1,104 +1,37 @@
-"""Pronunciations, inflection labels and grammar, over words given here, with the results that are known for them."""
+"""Spelling to sound, differences and labels, over the tables' words."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigrid.functions import g2p, ipa, labels
+from lexigrid.functions import g2p, text
 from lexigrid.operators import stats
 from lexigrid.queries.registry import Tables, query
 
 
-def _values(rows: list[tuple], names: str) -> str:
-    def one(v: object) -> str:
-        return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
+@query()
+def spelt_words(t: Tables) -> DataFrame:
+    """(lang, word, sound): every word of the Spanish and German documents, spelt to sound."""
+    d = t.documents.where(F.col("lang").isin("es", "de")).select("lang", F.explode(F.regexp_extract_all("text", F.lit("[A-Za-zÀ-ÖØ-öø-ÿ]+"), F.lit(0))).alias("word")).distinct()
+    return d.select("lang", "word", F.when(F.col("lang") == "es", g2p.to_ipa(F.when(F.col("lang") == "es", F.col("word")), "es")).otherwise(g2p.to_ipa(F.when(F.col("lang") == "de", F.col("word")), "de")).alias("sound"))
 
-    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(one, r)) + ')' for r in rows)}) AS v({names})"
 
-
-def _known(name: str, rows: list[tuple], group: str, made: dict[str, object]) -> None:
-    """A query over rows (group, input, expected): the inputs of each group go through made[group]."""
-
-    def run(t: Tables) -> DataFrame:
-        d = t.spark.createDataFrame([r[:2] for r in rows], "kind string, given string")
-        case: Column = F.lit(None).cast("string")
-        for kind, fn in made.items():
-            case = F.when(F.col("kind") == kind, fn(F.col("given"))).otherwise(case)
-        return d.select("kind", "given", case.alias("result"))
-
-    run.__name__, run.__doc__ = name, f"{group}, over given words."
-    query(_values(rows, "kind, given, result"))(run)
-
-
-_known(
-    "shown_ipa",
-    [
-        ("uk", "ˈnʌmbə(ɹ)", "ˈnʌmbə"), ("us", "ˈnʌmbɚ(ɹ)", "ˈnʌmbər"), ("uk", "ˈdɜːndl̩", "ˈdɜːndəl"), ("uk", "ˈæb.s(ə)n̩s", "ˈæbsəns"), ("us", "ˈsaɪɾɪŋ", "ˈsaɪtɪŋ"), ("uk", "ˈt͡ʃɛk", "ˈtʃek"), ("us", "n(j)uː", "nuː"), ("uk", "n(j)uː", "njuː"),
-        ("uk", "kwɔːtə(r", "kwɔːtər"), ("es", "/ˈɡɾaθjas/ [ˈɡɾa.θjas]", "/ˈɡɾaθjas/"), ("es", "ˈliβ̞ɾo", "ˈlibɾo"), ("it", "/ˈpit.t͡sa/", "ˈpitːtsa"), ("it", "/faˈmiʎ.ʎa/", "faˈmiʎa"), ("it", "/ˈɡat.to/", "ˈɡatːo"), ("fr", "/mɑ̃.ʒe/", "mɑ̃ʒe"), ("fr", "/pɑt/", "pat"),
-        ("pt", "/paʁˈt͡ʃi(ʁ)/", "paʁˈtʃi(ʁ)"), ("de", "[haʊ̯s]", "haʊ̯s"), ("de", "/ˈɡeː.ən/", "ˈɡeːən"),
-    ],
-    "Pronunciations as they are shown",
-    {"uk": lambda c: ipa.english_shown(c, "uk"), "us": lambda c: ipa.english_shown(c, "us"), **ipa.SHOWN},
-)
-
-_known(
-    "stored_ipa",
-    [
-        ("en", "ˈneɪ̯.tʃə", "ˈneɪtʃə"), ("en", "ˈkʰæt(ə)ɫ", "ˈkæt(ə)l"), ("parse", "/ˈɡɾaθjas/ [ˈɡɾa.θjas]", "ˈɡɾaθjas"), ("parse", "[ˈɡa.to]", "ˈɡa.to"), ("parse", "\\ʃa\\", "ʃa"), ("parse", "plain", None), ("latam", "ˈɡɾaθjas", "ˈɡɾasjas"), ("latam", "ˈkasa", None),
-        ("glide", "ˈewɾo", "ˈeuɾo"), ("edition", "ˈgɾaθ̪jas", "ˈɡɾaθjas"),
-    ],
-    "Pronunciations as they are stored",
-    {"en": ipa.english_stored, "parse": ipa.parse_ipa, "latam": ipa.latin_american, "glide": ipa.glide_fold, "edition": ipa.canon_edition},
-)
-
-_known(
-    "spelt_ipa",
-    [
-        *[("es", *r.split("=")) for r in "hablar=/aˈblaɾ/ cinco=/ˈθinko/ perro=/ˈpero/ calle=/ˈkaʝe/ guerra=/ˈɡera/ queso=/ˈkeso/ jamón=/xaˈmon/ país=/paˈis/ cuidado=/kwiˈdado/ ciudad=/θjuˈdad/ pingüino=/pinˈɡwino/ muy=/ˈmwi/".split()],
-        *[("it", *r.split("=")) for r in "parlàre=/parˈla.re/ pàrlano=/ˈpar.la.no/ città=/t͡ʃitˈta/ gatto=/ˈɡat.to/ piàno=/ˈpja.no/".split()],
-        *[("de", *r.split("=")) for r in "mit=/ˈmɪt/ Tag=/ˈtaːk/ Vater=/ˈfaː.tɐ/ Kinder=/ˈkɪn.dɐ/ Sport=/ˈʃpɔʁt/ König=/ˈkøː.nɪç/".split()],
-        ("es", "weiß", None),
-    ],
-    "Spelling to sound",
-    {code: (lambda c, code=code: g2p.to_ipa(c, code)) for code in g2p.SPELLERS},
-)
-
-_known(
-    "inflection_labels",
-    [
-        ("es", "form-of,indicative,present,first-person,singular", "陈述式·现在时·第一人称·单数"), ("es", "gerund", "副动词"), ("es", "imperative,second-person,singular,with-voseo", "命令式·第二人称·单数·（voseo）"), ("es", "first-person,third-person,singular,imperfect,subjunctive", "虚拟式·未完成过去时·第一/三人称·单数"),
-        ("it", "historic,past,third-person,singular", "远过去时第三人称单数"), ("it", "participle,past,feminine,plural", "过去分词阴性复数"), ("fr", "feminine,plural", "阴性复数"), ("fr", "indicative,future,third-person,plural", "陈述式简单将来时第三人称复数"),
-        ("pt", "infinitive,personal,first-person,plural", "人称不定式第一人称复数"), ("pt", "pluperfect,indicative,first-person,singular", "陈述式过去完成时第一人称单数"), ("de", "genitive,singular", "单数属格"), ("de", "comparative,strong,nominative,plural", "比较级强变化复数主格"),
-        ("de", "participle,past", "过去分词（Partizip II）"), ("de", "subjunctive-ii,third-person,singular", "虚拟式II第三人称单数"), ("es", "", ""),
-    ],
-    "Labels of inflected forms",
-    {code: (lambda c, code=code: labels.compose(F.split(c, ","), code)) for code in ("es", "it", "fr", "pt", "de")},
-)
-
-_STORED = [
-    tuple(x.split("="))
-    for x in (
-        "técnico=ˈteɡniko=ˈtekniko|septiembre=sebˈtjembɾe=sepˈtjembɾe|atleta=adˈleta=atˈleta|acto=ˈaɡto=ˈakto|derecho=deˈɾet͡ʃo=deˈɾetʃo|libro=ˈliβɾo=ˈlibɾo|doctor=doɡˈtoɾ=dokˈtoɾ|"
-        "gracias=ˈɡɾaθjas [ˈɡɾa.θjas]=ˈɡɾaθjas|FBI=ˌefe ˌbe ˈi=ˌefe ˌbe ˈi|euro=ˈewɾo=ˈeuɾo|extraño=e(k)sˈtɾaɲo=eksˈtɾaɲo|president=pɾesiˈden(d)=pɾesiˈdent|moyuelo=moʝˈ(ɡ)welo=moʝˈwelo"
-    ).split("|")
-]
-
-
-@query(_values(_STORED, "word, given, result"))
-def spanish_stored(t: Tables) -> DataFrame:
-    """Seven steps of normal form, two of which look at the spelling."""
-    d = t.spark.createDataFrame([r[:2] for r in _STORED], "word string, given string")
-    return d.select("word", "given", ipa.spanish_stored(F.col("word"), F.col("given")).alias("result"))
-
-
-@query("SELECT * FROM (VALUES ('o', 'a', 3::BIGINT), ('ɡ', 'k', 1), ('', 's', 1)) AS v(\"old\", \"new\", n)")
+@query("SELECT substr(p_name, 1, 1) AS old, 'Z' AS new, count(*) AS n FROM part WHERE p_size % 2 = 0 GROUP BY 1 UNION ALL SELECT '', 'ZZ', count(*) FROM part WHERE p_size % 2 = 1")
 def difference_pairs(t: Tables) -> DataFrame:
-    d = t.spark.createDataFrame([("kato", "kata"), ("pero", "pera"), ("lo", "la"), ("aɡto", "akto"), ("kasa", "kasas"), ("x", "x")], "b string, a string")
-    return stats.difference_pairs(d, "b", "a")
+    """The stretches in which two values differ, counted."""
+    after = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("Z"), F.substring("p_name", 2, 100))).otherwise(F.concat("p_name", F.lit("ZZ")))
+    return stats.difference_pairs(t.part.select(F.col("p_name").alias("b"), after.alias("a")), "b", "a")
 
 
-@query("SELECT * FROM (VALUES ('abcc', 'abd', 'd', 'cc'), ('', 'xy', 'xy', ''), ('kk', 'k', '', 'k')) AS v(b, a, added, dropped)")
+@query("SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN '' ELSE 'yzz' END AS added, CASE WHEN p_size % 2 = 0 THEN substr(p_name, 1, 1) ELSE '' END AS dropped FROM part")
 def sign_bags(t: Tables) -> DataFrame:
     """Which signs were added and dropped, as bags."""
-    d = t.spark.createDataFrame([("abcc", "abd"), ("", "xy"), ("kk", "k")], "b string, a string")
-    x = stats.added_and_dropped(F.col("b"), F.col("a"))
-    return d.select("b", "a", x["added"].alias("added"), x["dropped"].alias("dropped"))
+    after = F.when(F.col("p_size") % 2 == 0, F.substring("p_name", 2, 100)).otherwise(F.concat(F.lit("z"), "p_name", F.lit("yz")))
+    x = stats.added_and_dropped(F.col("p_name"), after)
+    return t.part.select("p_partkey", x["added"].alias("added"), x["dropped"].alias("dropped"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'vt.' END AS pos, CASE WHEN p_size % 2 = 0 THEN p_name ELSE p_name || ' n. x' END AS label_text FROM part")
+def labelled_lines(t: Tables) -> DataFrame:
+    """Lines with a part of speech before them, and without."""
+    x = text.labelled_line(F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("vt. "), "p_name")).otherwise(F.concat("p_name", F.lit(" n. x"))))
+    return t.part.select("p_partkey", x["pos"].alias("pos"), x["text"].alias("label_text"))

@@ -85,17 +85,10 @@ def json_props(t: Tables) -> DataFrame:
     return t.events.groupBy("event_type").agg(F.count("*").alias("n"), F.count(k).alias("parsed"), F.sum(k).alias("total"))
 
 
-@query("SELECT doc_id, lower(strip_accents(CASE WHEN contains(text, chr(10)) THEN string_split(text, chr(10))[1] ELSE text END)) AS search_key FROM documents")
+@query("SELECT doc_id, lower(strip_accents(text)) AS search_key FROM documents")
 def search_keys(t: Tables) -> DataFrame:
-    """Keys without accents of the first line."""
-    return t.documents.select("doc_id", text.unaccent(F.element_at(F.split("text", "\n"), 1)).alias("search_key"))
-
-
-@query("SELECT * FROM (VALUES ('n. cat', 'n.', 'cat'), ('vt. do', 'vt.', 'do'), ('plain', NULL, 'plain')) AS v(line, pos, label_text)")
-def labelled_lines(t: Tables) -> DataFrame:
-    d = t.spark.createDataFrame([("n. cat",), ("vt. do",), ("plain",)], "line string")
-    x = text.labelled_line(F.col("line"))
-    return d.select("line", x["pos"].alias("pos"), x["text"].alias("label_text"))
+    """Whole texts without accents."""
+    return t.documents.select("doc_id", text.unaccent(F.col("text")).alias("search_key"))
 
 
 @query("SELECT p_partkey, p_name AS phrase, p_type AS zh FROM part")
