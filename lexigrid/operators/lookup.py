@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexigrid.functions.text import ascii_fold, base_forms, like_prefix
+from lexigrid.functions.text import LOWER, UPPER, ascii_fold, base_forms, key_range, like_prefix
 
 
 def best_first(lemma: str | None = "is_lemma", tie: str = "id") -> list[Column]:
@@ -13,12 +13,20 @@ def best_first(lemma: str | None = "is_lemma", tie: str = "id") -> list[Column]:
     return ([F.col(lemma).desc_nulls_last()] if lemma else []) + [F.col(tie).asc()]
 
 
-def exact(df: DataFrame, typed: str, word: str = "word", order: list[Column] | None = None) -> DataFrame:
-    """The best row whose word is what was typed, letters of ASCII folded; none for blanks."""
+def folded(typed: str) -> str:
+    return typed.translate(str.maketrans(UPPER, LOWER))
+
+
+def exact(df: DataFrame, typed: str, word: str = "word", order: list[Column] | None = None, sorted_by: str | None = None) -> DataFrame:
+    """The best row whose word is what was typed, letters of ASCII folded; none for blanks.
+
+    sorted_by: a column with the folded word by which the table is clustered; the scan then reads the row groups that may have it.
+    """
     typed = typed.strip()
     if not typed:
         return df.limit(0)
-    return df.where(ascii_fold(F.col(word)) == ascii_fold(F.lit(typed))).orderBy(*(order or best_first())).limit(1)
+    own = F.col(sorted_by) if sorted_by else ascii_fold(F.col(word))
+    return df.where(own == folded(typed)).orderBy(*(order or best_first())).limit(1)
 
 
 def exact_many(df: DataFrame, keys: DataFrame, key: str, word: str = "word", lemma: str | None = "is_lemma", tie: str = "id") -> DataFrame:
@@ -49,17 +57,21 @@ def clamp(limit: object, default: int = 20, most: int = 50) -> int:
     return max(1, min(most, number))
 
 
-def search(df: DataFrame, typed: str, limit: int = 20, word: str = "word", key: str | None = "word_norm", order: list[Column] | None = None, tie: str = "id") -> DataFrame:
+def search(df: DataFrame, typed: str, limit: int = 20, word: str = "word", key: str | None = "word_norm", order: list[Column] | None = None, tie: str = "id", sorted_by: str | None = None) -> DataFrame:
     """The first rows, in order, whose word or search key begins with what was typed; % and _ are live. None for blanks.
 
-    Sorted with a limit this is a top-k: each partition keeps no more than limit rows, and there is no shuffle of the table.
+    sorted_by: as in `exact`; key must be lower case then. The ranges of both columns that a prefix allows reach the scan. Sorted with a limit this is a top-k: each partition keeps no more than limit rows, and there is no shuffle of the table.
     """
     typed = typed.strip()
     if not typed:
         return df.limit(0)
     hit = like_prefix(F.col(word), typed)
+    near = key_range(F.col(sorted_by), folded(typed)) if sorted_by else None
     if key:
         hit = hit | like_prefix(F.col(key), typed)
+        near = near | key_range(F.col(key), folded(typed)) if near is not None else None
+    if near is not None:
+        df = df.where(near)  # a condition of its own, of comparisons alone: what a scan can take
     return df.where(hit).orderBy(*(order or by_lemma(typed, word)), F.col(tie)).limit(limit)
 
 
@@ -70,14 +82,19 @@ def contains_not_prefix(df: DataFrame, typed: str, limit: int = 20, word: str =
     return df.where(F.contains(c, folded) & ~F.startswith(c, folded)).orderBy(F.col(frequency).asc_nulls_last(), F.length(word), F.col(word), F.col(tie)).limit(limit)
 
 
-def search_many(df: DataFrame, queries: DataFrame, typed: str, limit: int, order: list[Column], word: str = "word", shortest: int = 2) -> DataFrame:
-    """The first rows for each of many prefixes without wildcards. Words meet prefixes by their first letters, an equi-join."""
+def search_many(df: DataFrame, queries: DataFrame, typed: str, limit: int, order: list[Column], word: str = "word") -> DataFrame:
+    """The first rows for each of many prefixes without wildcards.
+
+    Words are cut at the lengths that the prefixes have, and meet them whole: an equi-join in which a word meets just what it begins with.
+    """
     q = queries.select(F.col(typed).alias("_typed"), ascii_fold(F.trim(typed)).alias("_p")).where("_p <> ''").distinct()
-    lengths = F.array_distinct(F.array(*[F.lit(n) for n in range(1, shortest + 1)]))
-    q = q.withColumn("_head", F.substring("_p", 1, shortest))
-    words = df.withColumn("_folded", ascii_fold(F.col(word))).withColumn("_head", F.explode(F.array_distinct(F.transform(lengths, lambda n: F.substring(F.col("_folded"), F.lit(1), n)))))
-    hits = q.join(words, "_head").where(F.startswith("_folded", F.col("_p")))
-    ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("_typed").orderBy(*order)))
+    lengths = sorted(r[0] for r in q.select(F.length("_p")).distinct().collect())  # a row for each length
+    cuts = F.transform(F.filter(F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>"), lambda n: n <= F.length(word)), lambda n: F.substring(ascii_fold(F.col(word)), F.lit(1), n))
+    hits = q.join(df.withColumn("_p", F.explode(cuts)), "_p")
+    # of each prefix the best rows of each slice of words first, so that a short prefix is no single task
+    sliced = hits.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(64)))
+    first = sliced.withColumn("rank", F.row_number().over(Window.partitionBy("_typed", "_slice").orderBy(*order))).where(F.col("rank") <= limit)
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("_typed").orderBy(*order)))
     return ranked.where(F.col("rank") <= limit).select(F.col("_typed").alias(typed), "rank", *df.columns)
 
 

@@ -36,8 +36,10 @@ def proportional(df: DataFrame, stratum: str, total: int, key: str, seed: str |
     all_ = sizes.agg(F.sum("count").alias("_all"), F.count("*").alias("_strata"))
     quota = F.expr(f"{total} div _strata") if even else F.greatest(F.lit(1), F.floor(F.col("count") * total / F.col("_all")))
     quotas = sizes.crossJoin(F.broadcast(all_)).select(F.col(stratum).alias("_s"), quota.cast("long").alias("_quota"))  # all_ is one row
-    ranked = df.join(quotas, F.col(stratum) == F.col("_s")).withColumn("_r", F.row_number().over(Window.partitionBy(stratum).orderBy(order_of(F.col(key), seed), key)))
-    return ranked.where("_r <= _quota").select(*df.columns)
+    drawn = df.join(quotas, F.col(stratum) == F.col("_s")).withColumn("_h", order_of(F.col(key), seed)).withColumn("_slice", F.substring("_h", 1, 2))
+    # as in `stratified`: the slices' best first
+    first = drawn.withColumn("_r", F.row_number().over(Window.partitionBy(stratum, "_slice").orderBy("_h", key))).where("_r <= _quota")
+    return first.withColumn("_r", F.row_number().over(Window.partitionBy(stratum).orderBy("_h", key))).where("_r <= _quota").select(*df.columns)
 
 
 def with_repeats(df: DataFrame, share: float, key: str, seed: str | int = 1) -> DataFrame:

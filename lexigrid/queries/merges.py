@@ -36,12 +36,19 @@ def orphan_bases(t: Tables) -> DataFrame:
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
 def left_semi_known(t: Tables) -> DataFrame:
-    return t.customer.join(t.orders.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi").select("c_custkey", "c_name")
+    """Rows whose key is among given ones, by the readers' semi join."""
+    from lexigrid.sources.readers import only_words
+
+    own = t.customer.withColumn("word", F.col("c_custkey").cast("string"))
+    return only_words(own, t.orders.where("o_orderstatus = 'F'").select(F.col("o_custkey").cast("string").alias("word"))).select("c_custkey", "c_name")
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def left_anti_new(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id").join(t.labels.select("doc_id"), "doc_id", "left_anti")
+    """Rows whose key isn't among those that are done."""
+    from lexigrid.streaming.resume import remaining
+
+    return remaining(t.documents.select("doc_id"), t.labels, "doc_id")
 
 
 @query("SELECT d.doc_id, (coalesce(quality, 0) > 0 OR (quality IS NULL AND d.lang = 'en')) AS is_lemma FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")

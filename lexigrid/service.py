@@ -21,6 +21,7 @@ class Service:
     def __init__(self, spark: SparkSession, code: str, path: str):
         self.code, self.path = code, path
         self.df = spark.read.parquet(path)
+        self.sorted_by = "word_key" if "word_key" in self.df.columns else None
 
     @property
     def english(self) -> bool:
@@ -35,9 +36,9 @@ class Service:
         """(id, word, pos, brief), ranked; none for blanks."""
         typed, n = typed.strip(), lookup.clamp(limit)
         if self.english:
-            hits = lookup.search(self.df, typed, n, key=None, order=lookup.by_frequency(typed))
+            hits = lookup.search(self.df, typed, n, key=None, order=lookup.by_frequency(typed), sorted_by=self.sorted_by)
         else:
-            hits = lookup.search(self.df, typed, n)
+            hits = lookup.search(self.df, typed, n, sorted_by=self.sorted_by)
         return hits.select("id", "word", "pos", brief(F.col("translation"), F.col("definition"), self.english).alias("brief"))
 
     def shown(self, df: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ class Service:
     def get_entry(self, word: str) -> DataFrame:
         """The best row for a word with its bases, as it is shown; none for blanks and unknown words."""
         order = [F.col("id").asc()] if self.english else lookup.best_first()
-        hit = lookup.exact(self.df, word, order=order)
+        hit = lookup.exact(self.df, word, order=order, sorted_by=self.sorted_by)
         if self.english:
             return self.shown(hit)
         return self.shown(lookup.bases(self.df, hit, columns=["word", "pos", "definition", "translation", "meta"]))

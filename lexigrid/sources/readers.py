@@ -43,8 +43,9 @@ def read_entries(spark: SparkSession, path: str | list[str], lang: str | None =
     lines = read_lines(spark, path).where(F.trim("value") != "")
     if prefilter:
         lines = lines.where(F.contains("value", F.lit(prefilter)))
-    parsed = lines.select("seq", F.from_json("value", schema).alias("e"), F.get_json_object("value", "$").isNotNull().alias("ok"))
-    out = parsed.select("seq", "e.*", (~F.col("ok") | F.col("e.word").isNull() | (F.trim("e.word") == "")).alias("bad"))
+    # a line that is no JSON object parses to nulls; each line is parsed once
+    parsed = lines.select("seq", F.from_json("value", schema).alias("e"))
+    out = parsed.select("seq", "e.*", (F.col("e.word").isNull() | (F.trim("e.word") == "")).alias("bad"))
     return out if lang is None else out.where(F.col("bad") | (F.col("lang_code") == lang))
 
 

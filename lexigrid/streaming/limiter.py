@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -38,15 +38,22 @@ def _limited(window: int, most: int):
     def run(_: tuple, group: pa.Table) -> pa.Table:
         group = group.sort_by([("ms", "ascending"), ("order", "ascending")])
         count = gate(group.column("ms").to_numpy(), window, most)
-        return group.append_column("hits", pa.array(count)).append_column("limited", pa.array(count > most))
+        return group.select(["client", "order", "ms"]).append_column("hits", pa.array(count)).append_column("limited", pa.array(count > most))
 
     return run
 
 
 def per_client(requests: DataFrame, client: str, at: str, order: str, window_ms: int = 60_000, most: int = 120) -> DataFrame:
-    """(client, order, ms, hits, limited): each client's own gate."""
+    """(client, order, ms, hits, limited): each client's own gate.
+
+    A request that comes a window or more after the client's last one opens a window for certain: there the client's history is cut, so that
+    a group is a burst of requests, not all of a client's. The cut needs no shuffle of its own.
+    """
     base = requests.select(F.col(client).cast("string").alias("client"), F.col(order).cast("long").alias("order"), millis(requests, at).alias("ms"))
-    return base.groupBy("client").applyInArrow(_limited(window_ms, most), "client string, order long, ms long, hits long, limited boolean")
+    w = Window.partitionBy("client").orderBy("ms", "order")
+    opens = F.coalesce(F.col("ms") - F.lag("ms").over(w) >= window_ms, F.lit(True)).cast("int")
+    cut = base.withColumn("opens", opens).withColumn("burst", F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("opens")
+    return cut.groupBy("client", "burst").applyInArrow(_limited(window_ms, most), "client string, order long, ms long, hits long, limited boolean")
 
 
 def global_rejections(requests: DataFrame, at: str, order: str, window_ms: int = 60_000, most: int = 1200) -> DataFrame:

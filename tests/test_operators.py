@@ -250,3 +250,21 @@ def test_repairs(spark):
     assert repair.pointed_bases("Forma del femenino de amado, participio de amar.") == ["amado", "amar"]
     d = spark.createDataFrame([("más", "mas", "/ˈmas/", None), ("más", "mas", "/ˈmas/", "mas"), ("mas", "mas", "/ˈmas/", None)], "w string, i string, r string, a string")
     assert [r[0] for r in d.select(repair.stress_only(*map(F.col, "wira"))).collect()] == ["ˈmas", None, None]
+
+
+def test_look_ups_reach_the_scan(spark, tmp_path):
+    """The ranges of the sorted key are pushed to Parquet."""
+    from lexigrid.service import Service
+    from lexigrid.sources.sinks import clustered
+
+    rows = [(i, w, w, 1, "t", "d", None, None, None, None, None) for i, w in enumerate(["Gato", "gata", "perro", "éa", "100%"])]
+    d = spark.createDataFrame(rows, "id long, word string, word_norm string, is_lemma int, translation string, definition string, ipa string, exchange string, meta string, collocation string, infl string").withColumn("pos", F.lit("n"))
+    d = d.withColumn("word_norm", F.lower("word"))
+    clustered(d, F.col("word"), str(tmp_path / "d"), 2)
+    s = Service(spark, "it", str(tmp_path / "d"))
+    assert [r["word"] for r in s.search("GAT").collect()] == ["Gato", "gata"] and s.get_entry("GATO").first()["word"] == "Gato"
+    assert [r["word"] for r in s.search("1__%").collect()] == ["100%"]
+    for plan in (s.search("gat"), s.get_entry("gato")):
+        text_ = plan._jdf.queryExecution().explainString(plan.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        pushed = [x for x in text_.splitlines() if "PushedFilters" in x and "word_key" in x]
+        assert pushed and ("GreaterThanOrEqual(word_key,gat)" in pushed[0] or "EqualTo(word_key,gato)" in pushed[0])
