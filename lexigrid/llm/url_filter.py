@@ -1,25 +1,24 @@
 """URL filters (operator 7): pattern rules indexed by their rarest literal token.
 
 A rule's regular expression is read for the tokens (runs of letters and digits with borders on both sides) that any URL that it
-matches must have. How many URLs hold each such token is counted over the whole table; the rule is filed under its rarest. A URL's own
-tokens fetch its candidate rules and only those run. Rules with no such token are candidates for every URL. All in JVM expressions, in one
-pass without a shuffle, beside the count.
+matches must have. How many URLs hold each such token is counted over the whole table; the rule is filed under its rarest. The index is a
+table of (token, rule), hashed by token: a URL's own tokens fetch its candidate rules from it and only those run. Rules with no such token
+are candidates for every URL, as constant patterns. All in JVM expressions, without a shuffle of the pages beside the count.
 """
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass
 from re import _constants as sre
 from re import _parser
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm.common import fresh, quoted
+from lexigrid.llm.common import quoted
 
-#: Rules in one constant map; more rules make more maps.
-MAP_RULES = 5000
+#: Bytes of an index that is broadcast; a larger one is joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -64,8 +63,8 @@ RULES = (
     Rule("late_page", r"[?&]page=[2-9]"),
     Rule("fragment_top", r"#top$"),
     Rule("print_view", r"/print/|[?&]print=1"),
-    Rule("spanish_org", r"\.example\.org/es/"),
-    Rule("french_net", r"\.example\.net/fr/[0-9]+"),
+    Rule("language_path", r"^https?://[^/?#]+/(?:de|es|fr|it|nl|pl|pt|ru)(?:/|$)"),
+    Rule("numbered_path", r"^https?://[^/?#]+(?:/[a-z]+)?/[0-9]+(?:[.?#/]|$)"),
     Rule("account_page", r"/(?:login|signup|register|cart|checkout)(?:/|$)"),
     Rule("media_file", r"\.(?:jpg|png|gif|mp4|zip|exe)$"),
     Rule("feed", r"/(?:rss|feed|atom)(?:\.xml|/|$)"),
@@ -142,42 +141,45 @@ def rarest_tokens(urls: DataFrame, rules: tuple[Rule, ...], url: str = "url") ->
     return {name: min(sets, key=lambda s: (sum(counts.get(t, 0) for t in s), sorted(s)), default=frozenset()) for name, sets in wanted.items()}
 
 
-def matching_rules(url: Column, rules: tuple[Rule, ...], index: dict[str, frozenset[str]]) -> Column:
-    """An array of the names of the rules that match url, in the order of the names."""
-    low, found = F.lower(url), []
-
-    def fetch(by_token: Column) -> Column:
-        each = F.transform(F.concat(F.array(F.lit("")), _tokens(url)), lambda t: F.element_at(by_token, t))
-        return F.array_distinct(F.flatten(F.filter(each, lambda x: x.isNotNull())))
-
-    for a in range(0, len(rules), MAP_RULES):
-        filed: dict[str, list[dict[str, str]]] = {}
-        for rule in rules[a : a + MAP_RULES]:
-            for token in index[rule.name] or [""]:
-                filed.setdefault(token, []).append({"name": rule.name, "pattern": rule.pattern})
-        by_token = F.from_json(F.lit(json.dumps(filed)), "map<string,array<struct<name:string,pattern:string>>>")
-        found.append(F.transform(F.filter(fetch(by_token), lambda r: F.rlike(low, r["pattern"])), lambda r: r["name"]))
-    return F.array_sort(F.concat(*found)) if found else F.array().cast("array<string>")
+def _index(spark: SparkSession, rules: tuple[Rule, ...], filed: dict[str, frozenset[str]]) -> DataFrame:
+    """(token, rule, pattern, among): each rule under each token of its set, all of which are in among."""
+    rows = [(token, r.name, r.pattern, sorted(filed[r.name])) for r in rules for token in sorted(filed[r.name])]
+    index = spark.createDataFrame(rows, "token string, rule string, pattern string, among array<string>")
+    size = sum(len(t) + len(n) + len(p) + sum(map(len, a)) + 100 for t, n, p, a in rows)
+    return F.broadcast(index) if size <= BROADCAST_BYTES else index
+
+
+def _matched(urls: DataFrame, rules: tuple[Rule, ...], filed: dict[str, frozenset[str]]) -> DataFrame:
+    """urls' rows, with a column url that isn't null, once for each rule that matches, with the rule."""
+    low = F.lower("url")
+    open_ = [r for r in rules if not filed[r.name]]
+    out = urls.withColumn("rule", F.explode(F.array_compact(F.array(*[F.when(low.rlike(r.pattern), r.name) for r in open_])) if open_ else F.array().cast("array<string>")))
+    if len(open_) < len(rules):
+        each = urls.withColumn("_tokens", _tokens(F.col("url"))).withColumn("token", F.explode("_tokens"))
+        met = each.join(_index(urls.sparkSession, rules, filed), "token")
+        # a rule that a URL meets by several tokens of its set runs once
+        once = F.col("token") == F.array_min(F.array_intersect("_tokens", "among"))
+        out = out.unionByName(met.where(once).where(F.rlike(low, F.col("pattern"))).select(*urls.columns, "rule"))
+    return out
 
 
 def url_matches(pages: DataFrame, rules: tuple[Rule, ...] = RULES, page_id: str = "page_id", url: str = "url") -> DataFrame:
     """A row (page_id, url, rule) for each rule that matches a page's URL.
 
     A null or empty URL has only what rules without tokens match in it (null: nothing). Repeated rows: a result for each. Null page_id:
-    stays null. Very long URLs: matched whole. Empty table or no rules: empty result. Other columns: unread.
+    stays null. Very long URLs: matched whole. Empty table or no rules: empty result. Other columns: unread. Names must be unique.
     """
     rules = tuple(rules)
     base = pages.select(quoted(page_id).alias("page_id"), quoted(url).alias("url"))
-    index = rarest_tokens(base, rules)
-    return base.where(F.col("url").isNotNull()).select("page_id", "url", F.explode(matching_rules(F.col("url"), rules, index)).alias("rule"))
+    return _matched(base.where(F.col("url").isNotNull()), rules, rarest_tokens(base, rules))
 
 
 def drop_matching(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url: str = "url") -> DataFrame:
-    """The rows of pages whose URL no rule matches; rows of null URL stay. All columns are kept."""
+    """The rows of pages whose URL no rule matches; rows of null URL stay. All columns are kept. Each distinct URL is judged once."""
     rules = tuple(rules)
-    (hit,) = fresh(pages, "rules")
-    index = rarest_tokens(pages, rules, url)
-    return pages.withColumn(hit, matching_rules(quoted(url), rules, index)).where(quoted(url).isNull() | (F.size(F.col(hit)) == 0)).drop(hit)
+    urls = pages.select(quoted(url).alias("url")).where(F.col("url").isNotNull()).distinct()
+    hit = _matched(urls, rules, rarest_tokens(urls, rules)).select(F.col("url").alias("_lx_matched")).distinct()
+    return pages.join(hit, quoted(url) == hit["_lx_matched"], "left_anti")
 
 
 def drop_unwanted(pages: DataFrame, rules: tuple[Rule, ...] = UNWANTED, url: str = "url") -> DataFrame:

@@ -240,6 +240,22 @@ def test_url_rules(spark):
     assert found == want and want
 
 
+def test_thousands_of_url_rules(spark):
+    """An index of 5,000 rules, some of several tokens, some of none; a table that is too large to broadcast gives the same."""
+    r = random.Random(4)
+    rules = tuple(url_filter.Rule(f"r{k}", rf"^https?://(?:[^/]*\.)?site{k}\.test/" if k % 3 else rf"/(?:path{k}|way{k})/") for k in range(5000)) + (url_filter.Rule("digits", "[0-9]{6}"),)
+    urls = [f"https://www.site{r.randrange(5200)}.test/path{r.randrange(5200)}/way{r.randrange(5200)}/{r.randrange(10**7)}" for _ in range(400)] + ["", None, "http://site1.test/PATH3/way3/"]
+    d = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    want = Counter((i, x.name) for i, u in enumerate(urls) if u for x in rules if re.search(x.pattern, u.lower()))
+    assert Counter((x["page_id"], x["rule"]) for x in url_filter.url_matches(d, rules).collect()) == want and len(want) > 400
+    kept, url_filter.BROADCAST_BYTES = url_filter.BROADCAST_BYTES, 0
+    try:
+        assert Counter((x["page_id"], x["rule"]) for x in url_filter.url_matches(d, rules).collect()) == want
+    finally:
+        url_filter.BROADCAST_BYTES = kept
+    assert {x["page_id"] for x in url_filter.drop_matching(d, rules).collect()} == set(range(len(urls))) - {i for i, _ in want}
+
+
 @pytest.mark.parametrize(("pattern", "url", "tokens"), [(r"/wiki/talk:", "http://a/wiki/talk:x", {"wiki", "talk"}), (r"login", "x", set()), (r"/(?:rss|feed)/", "/rss/", {"rss", "feed"}), (r"[0-9]{9}", "1", set())])
 def test_required_tokens(pattern, url, tokens):
     assert set().union(*url_filter.required_tokens(pattern)) == tokens
