@@ -190,7 +190,7 @@ def test_sounds(spark):
 
 def test_stored_form_is_stable(spark):
     """Applied twice, the normal form is the same."""
-    from lexigrid.queries.language import _STORED
+    from tests.test_language import _STORED
 
     d = spark.createDataFrame([r[:2] for r in _STORED], "w string, i string").withColumn("one", ipa.spanish_stored(F.col("w"), F.col("i")))
     assert d.withColumn("two", ipa.spanish_stored(F.col("w"), F.col("one"))).where("one <> two").count() == 0
