@@ -2,11 +2,13 @@
 
 A text's features are its distinct words (case folded) of at least MIN_LETTERS bytes; SimHash makes BITS bits of them, seen as a
 ring of SEGMENTS segments. Two texts are near duplicates when their fingerprints differ in at most `tau` bits. The pigeonring
-principle says that such a pair has a segment from which each chain of l consecutive segments differs in at most l * tau / SEGMENTS
-bits. Texts meet in the buckets of their segments' values; a segment's value is also tried with its least certain bit flipped. From
-the segment that they met in, the chains of 2 .. CHAIN segments must stay within their proportional budgets, and only then is the full
-distance counted. All pairs within SEGMENTS - 1 bits are found for certain (one segment of theirs is equal, and by the principle one
-that begins such a chain); farther ones with high probability (the tests measure recall against brute force).
+principle, for whole numbers: if segments have radii r_i with a sum of tau - SEGMENTS + 1, such a pair has a segment from which each
+chain of segments differs in less than the sum of its r_i + 1 bits (were there none, all bits that differ would be tau + 1 at least).
+So a pair is met in the buckets of that segment's values that are at most r_i bits apart, its chains of 2 .. CHAIN segments are held to
+their budgets, and only then is the full distance counted. All pairs within tau bits are found, none only probably.
+
+Distinct fingerprints are dealt into tiles, and each pair of tiles is compared by one task that probes all values within the radii. A
+share of 1,352 in 65,536 of the pairs is looked at for tau = 40, so the work is a small part of all pairs, but grows as their number does.
 
 Groups are the connected components; of each the row with the smallest doc_id stays.
 """
@@ -56,7 +58,7 @@ def margins(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """uint16 [texts, SEGMENTS] fingerprints and int32 [texts, 2 * SEGMENTS] bucket keys."""
+    """uint16 [texts, SEGMENTS] fingerprints and int32 [texts, 2 * SEGMENTS] bucket keys, of which only group_edges makes use; near_edges needs none."""
     n = len(offsets) - 1
     fps, keys = np.empty((n, SEGMENTS), np.uint16), np.empty((n, 2 * SEGMENTS), np.int32)
     width = BITS // SEGMENTS
@@ -86,7 +88,9 @@ def _near(a: np.ndarray, b: np.ndarray, segment: np.ndarray | int, tau: int) ->
     return out
 
 
-PAIRS_AT_ONCE, LARGE_GROUP, BLOCK_ROWS = 1 << 18, 512, 1 << 17
+#: Tiles hold TILE_ROWS fingerprints at most, and there are TILES of them at least; EXHAUSTIVE pairs are compared without probing. In buckets of over TOLD_APART what is connected is left out.
+PAIRS_AT_ONCE, LARGE_GROUP, TOLD_APART, TILE_ROWS, TILES, EXHAUSTIVE, MOST_PROBES = 1 << 18, 512, 32, 1 << 18, 8, 1 << 22, 1 << 13
+_ONES = np.bitwise_count(np.arange(1 << 16, dtype=np.uint16))
 
 
 def _large_group(fps: np.ndarray, segment: int, tau: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -105,7 +109,7 @@ def _large_group(fps: np.ndarray, segment: int, tau: int) -> Iterator[tuple[int,
 
 
 def group_edges(keys: np.ndarray, nodes: np.ndarray, fps: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges between nodes that meet under a key; keys come sorted. A spanning forest: it connects just what all near pairs would."""
+    """Edges between nodes that meet under a key; keys come sorted. A spanning forest of the near pairs of equal keys only: no part of near_edges."""
     own, place = np.unique(nodes, return_inverse=True)
     label = np.arange(len(own))
     starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
@@ -134,6 +138,101 @@ def group_edges(keys: np.ndarray, nodes: np.ndarray, fps: np.ndarray, tau: int)
     return own[some], own[label[some]]
 
 
+def radii(tau: int) -> list[int]:
+    """For each segment how many bits may differ where a pair within tau bits is met; -1: it needn't be met there."""
+    total = tau - SEGMENTS + 1
+    return [(s + 1) * total // SEGMENTS - s * total // SEGMENTS for s in range(SEGMENTS)]
+
+
+def _full(a: np.ndarray, b: np.ndarray, tau: int) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(axis=-1) <= tau
+
+
+def _all_near(x: np.ndarray, y: np.ndarray, tau: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of rows of x and y within tau bits, each compared."""
+    wx, wy = x.view(np.uint64), y.view(np.uint64)
+    step = max(1, PAIRS_AT_ONCE // max(1, len(y)))
+    for k in range(0, len(x), step):
+        i, j = np.nonzero(_full(wx[k : k + step, None], wy[None], tau))
+        yield i + k, j
+
+
+def _probed(x: np.ndarray, y: np.ndarray, lx: np.ndarray, ly: np.ndarray, segment: int, tau: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of rows of x and y within tau bits that are to be met in this segment; in large buckets only those of unequal labels.
+
+    same: y is x, and a pair is met from one side only.
+    """
+    radius, at = radii(tau), [(segment + k) % SEGMENTS for k in range(CHAIN)]
+    budget = np.cumsum([radius[s] + 1 for s in at]) - 1
+    order, other = np.argsort(x[:, segment], kind="stable"), np.lexsort((ly, y[:, segment]))
+    own, values = x[order, segment], y[other, segment]
+    size = np.bincount(values, minlength=1 << 16)
+    start = np.cumsum(size) - size
+    chain_x, chain_y = [np.ascontiguousarray(x[order, s]) for s in at[1:]], [np.ascontiguousarray(y[other, s]) for s in at[1:]]
+    wx, wy = x.view(np.uint64), y.view(np.uint64)
+    hot = size.max(initial=0) > TOLD_APART
+    if hot:
+        label = lx[order]
+        keyed = values.astype(np.int64) << 32 | ly[other]
+    for flip in np.flatnonzero(radius[segment] >= _ONES).astype(np.uint16):
+        value = own ^ flip
+        rows = np.flatnonzero((size[value] > 0) & (value >= own) if same else size[value] > 0)
+        value = value[rows]
+        low, count = start[value], size[value]
+        if hot and (large := np.flatnonzero(count > TOLD_APART)).size:
+            asked = value[large].astype(np.int64) << 32 | label[rows[large]]
+            before, after = np.searchsorted(keyed, asked, "left"), np.searchsorted(keyed, asked, "right")
+            rows, low, count = np.append(rows, rows[large]), np.append(low, after), np.append(count, low[large] + count[large] - after)
+            count[large] = before - low[large]
+        ends = np.cumsum(count)
+        k = 0
+        while k < len(rows):
+            done = int(ends[k - 1]) if k else 0
+            to = max(k + 1, int(np.searchsorted(ends, done + (PAIRS_AT_ONCE << 2), "right")))
+            n = count[k:to]
+            place = np.repeat(low[k:to] - (ends[k:to] - n - done), n)
+            place += np.arange(len(place))
+            near = np.flatnonzero(np.bitwise_count(np.repeat(chain_x[0][rows[k:to]], n) ^ chain_y[0][place]) <= budget[1] - int(_ONES[flip]))
+            i, j = rows[k + np.searchsorted(ends[k:to] - done, near, "right")], place[near]
+            total = np.full(len(i), _ONES[flip], np.int16)
+            for length in range(2, CHAIN + 1):
+                total = total + np.bitwise_count(chain_x[length - 2][i] ^ chain_y[length - 2][j])
+                ok = total <= budget[length - 1]
+                i, j, total = i[ok], j[ok], total[ok]
+            i, j = order[i], other[j]
+            ok = _full(wx[i], wy[j], tau)
+            yield i[ok], j[ok]
+            k = to
+
+
+def tile_edges(nodes: np.ndarray, fps: np.ndarray, second: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the near pairs of fingerprints of the first and the second tile, or of one tile's own if none is of the second."""
+    label = np.arange(len(nodes))
+    x, y = np.flatnonzero(~second), np.flatnonzero(second)
+    same = not len(x) or not len(y)
+    if same:
+        x = y = np.arange(len(nodes))
+    fx, fy = np.ascontiguousarray(fps[x]), np.ascontiguousarray(fps[y])
+    radius = radii(tau)
+    if len(x) * len(y) <= EXHAUSTIVE or sum((_ONES <= r).sum() for r in radius) > MOST_PROBES:
+        for i, j in _all_near(fx, fy, tau):
+            joined(label, x[i], y[j])
+    else:
+        for s in range(SEGMENTS):  # what is in large buckets is connected first, so that it isn't compared pair by pair
+            order = np.argsort(fps[:, s], kind="stable")
+            size = np.bincount(fps[:, s], minlength=1 << 16)
+            for v in np.flatnonzero(size > LARGE_GROUP):
+                group = order[size[:v].sum() :][: size[v]]
+                for a, found in _large_group(fps[group], s, tau):
+                    joined(label, np.full(len(found), group[a]), group[found])
+        for s in np.flatnonzero(np.array(radius) >= 0):
+            lx, ly = label[x], label[y]
+            for i, j in _probed(fx, fy, lx, ly, int(s), tau, same):
+                joined(label, x[i], y[j])
+    some = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[some], nodes[label[some]]
+
+
 def _fingerprint_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fps, keys = fingerprints(*utf8_parts(batch.column("text")))
@@ -146,42 +245,41 @@ def _fingerprint_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 def _edges_of(tau: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list = []
+        def ended(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            fps = np.frombuffer(b"".join(x for b in held for x in b.column("fp").to_pylist()), np.uint16).reshape(-1, SEGMENTS)
+            nodes, second = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in held]) for c in ("node", "second"))
+            a, b = tile_edges(nodes, fps, second, tau)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        now, held = None, []
         for batch in batches:
             keys = batch.column("key").to_numpy()
-            nodes = batch.column("node").to_numpy()
-            fps = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint16).reshape(-1, SEGMENTS)
-            if kept:
-                keys, nodes, fps = (np.concatenate([o, n]) for o, n in zip(kept, (keys, nodes, fps), strict=True))
-            cut = int(np.searchsorted(keys, keys[-1], "left")) if len(keys) else 0
-            a, b = group_edges(keys[:cut], nodes[:cut], fps[:cut], tau)
-            kept = [keys[cut:], nodes[cut:], fps[cut:]]
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-        if kept:
-            a, b = group_edges(*kept, tau)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else []
+            for i, j in zip(cuts, np.append(cuts[1:], len(keys)), strict=True):
+                if held and keys[i] != now:
+                    yield ended(held)
+                    held = []
+                now = keys[i]
+                held.append(batch.slice(i, j - i))
+        if held:
+            yield ended(held)
 
     return run
 
 
-def near_edges(prints: DataFrame, tau: int = TAU, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints, by their 64-bit hashes, from a table with fp and keys: forests of the near pairs.
+def near_edges(prints: DataFrame, tau: int = TAU, block_rows: int = TILE_ROWS) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints, by their 64-bit hashes, from a table with fp: forests of all pairs within tau bits.
 
-    A bucket of more than block_rows fingerprints is dealt into blocks, and each pair of its blocks is a group of its own, so that no
-    task gets an unbounded group and no pair is lost.
+    Fingerprints are dealt into tiles of about block_rows at most, and each pair of tiles is a group of its own.
     """
-    nodes = prints.groupBy("fp").agg(F.min("keys").alias("keys")).select(F.xxhash64("fp").alias("node"), "fp", F.explode(F.array_distinct("keys")).alias("key"))
-    hot = written(nodes.groupBy("key").count().where(F.col("count") > block_rows).select("key", F.ceil(F.col("count") / block_rows).alias("blocks")), "hot-buckets")
-    many = hot.count()
-    if many:
-        # at most the keys / block_rows; beyond 2^20 of them the join shuffles
-        dealt = nodes.join(F.broadcast(hot) if many <= 1 << 20 else hot, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
-        dealt = dealt.withColumn("t", F.pmod(F.xxhash64("node"), F.col("blocks"))).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        group = F.col("key") + (F.least("t", "o") * F.col("blocks") + F.greatest("t", "o")) * F.lit(1 << 20)
-        grouped = dealt.select(group.alias("key"), "node", "fp")
-    else:
-        grouped = nodes.select(F.col("key").cast("long").alias("key"), "node", "fp")
-    return grouped.repartition("key").sortWithinPartitions("key").mapInArrow(_edges_of(tau), "a long, b long")
+    nodes = written(prints.select("fp").distinct().select(F.xxhash64("fp").alias("node"), "fp"), "nodes")
+    tiles = max(TILES, -(-nodes.count() // block_rows))
+    groups = tiles * (tiles + 1) // 2
+    dealt = nodes.withColumn("t", F.pmod(F.xxhash64("node"), F.lit(tiles))).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
+    low = F.least("t", "o")
+    dealt = dealt.select((F.expr("bigint(greatest(t, o) * (greatest(t, o) + 1) div 2)") + low).alias("key"), (F.col("t") > low).alias("second"), "node", "fp")
+    parts = min(groups, int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return dealt.repartitionById(parts, F.pmod("key", F.lit(parts)).cast("int")).sortWithinPartitions("key").mapInArrow(_edges_of(tau), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tau: int = TAU) -> DataFrame:
@@ -192,7 +290,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     base = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text")).where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("k"), "text")
     id_type = base.schema["doc_id"].dataType.simpleString()
-    prints = written(base.mapInArrow(_fingerprint_rows, f"doc_id {id_type}, k long, fp binary, keys array<int>"), "fingerprints")
+    prints = written(base.mapInArrow(_fingerprint_rows, f"doc_id {id_type}, k long, fp binary, keys array<int>").select("doc_id", "k", "fp"), "fingerprints")
     rows = prints.groupBy("doc_id", "k", "fp").agg(F.count("*").alias("n")).withColumn("node", F.xxhash64("fp")).drop("fp")
     roots = components(near_edges(prints, tau))
     rows = written(rows.join(roots, "node", "left").select("doc_id", "k", "n", F.coalesce("root", "node").alias("root")), "groups")

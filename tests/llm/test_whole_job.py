@@ -5,9 +5,10 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from lexigrid.llm import line_dedup, toxicity, url_filter
+from lexigrid.llm import line_dedup, simhash_dedup, toxicity, url_filter
 from lexigrid.llm import queries as q
 from tests.conftest import DATA
 
@@ -136,3 +137,56 @@ def test_op8_lexicon_does_not_depend_on_the_layout(spark):
         _, lexicon = toxicity.induce(laid, labels, 0.01)
         found.append({int(h): round(float(w), 4) for h, w in zip(lexicon.hashes, lexicon.weights, strict=True) if w})
     assert found[0] == found[1] and found[0]
+
+
+def _noisy(r: np.random.Generator, fp: np.ndarray, bits: int) -> np.ndarray:
+    out = np.unpackbits(fp.view(np.uint8))
+    out[r.choice(len(out), bits, replace=False)] ^= 1
+    return np.packbits(out).view(np.uint16)
+
+
+@pytest.mark.parametrize("limits", [{}, {"LARGE_GROUP": 1, "TOLD_APART": 1}])
+def test_op6_probes_find_all_pairs(monkeypatch, limits):
+    """Tiles that are probed give the components of all pairs within the distance, chains and large buckets included."""
+    for name, value in {"EXHAUSTIVE": 0, **limits}.items():
+        monkeypatch.setattr(simhash_dedup, name, value)
+    r = np.random.default_rng(3)
+    base = r.integers(0, 1 << 16, (300, 16)).astype(np.uint16)
+    fps = np.concatenate([base, [_noisy(r, x, int(r.integers(36, 45))) for x in base], [_noisy(r, base[0], k % 30) for k in range(100)]])
+    fps = fps[r.permutation(len(fps))]
+    apart = np.bitwise_count(fps[:, None] ^ fps[None]).sum(axis=2)
+    for second in (np.zeros(len(fps), bool), r.random(len(fps)) < 0.5):
+        i, j = np.nonzero((apart <= simhash_dedup.TAU) & ((second[:, None] != second[None]) | (not second.any())))
+        want, own = np.arange(len(fps)), np.arange(len(fps))
+        simhash_dedup.joined(want, i, j)
+        a, b = simhash_dedup.tile_edges(np.arange(len(fps)), fps, second, simhash_dedup.TAU)
+        simhash_dedup.joined(own, a, b)
+        if second.any() and limits:  # large buckets also connect within a tile
+            whole = np.arange(len(fps))
+            simhash_dedup.joined(whole, *np.nonzero(apart <= simhash_dedup.TAU))
+            assert (own[i] == own[j]).all() and (whole[a] == whole[b]).all()
+        else:
+            assert (own == want).all() and (want != np.arange(len(fps))).sum() > 100
+
+
+def _far_copies(seed: int) -> list[tuple[int, str]]:
+    """60 texts and for each a copy, with other words in it, whose fingerprint is 36 to 40 bits from it."""
+    from tests.llm import brute
+
+    r = random.Random(seed)
+    out = []
+    for d in range(60):
+        words = [f"word{r.randint(0, 99999)}" for _ in range(60)]
+        fp = np.frombuffer(brute.fast_fingerprint(" ".join(words)), np.uint16)
+        while True:
+            other = [f"other{r.randint(0, 99999)}" if r.random() < 0.06 else w for w in words]
+            if 36 <= np.bitwise_count(fp ^ np.frombuffer(brute.fast_fingerprint(" ".join(other)), np.uint16)).sum() <= 40:
+                break
+        out += [(d, " ".join(words)), (1000 + d, " ".join(other))]
+    return out
+
+
+def test_op6_finds_the_farthest_near_copies(spark):
+    """No segment of theirs need be equal: buckets of equal segments, and of one bit flipped, left some out."""
+    docs = spark.createDataFrame(_far_copies(2), "doc_id long, text string")
+    assert sorted(map(tuple, simhash_dedup.removed_pairs(docs).collect())) == [(1000 + d, d) for d in range(60)]
