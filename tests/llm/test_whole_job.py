@@ -190,3 +190,10 @@ def test_op6_finds_the_farthest_near_copies(spark):
     """No segment of theirs need be equal: buckets of equal segments, and of one bit flipped, left some out."""
     docs = spark.createDataFrame(_far_copies(2), "doc_id long, text string")
     assert sorted(map(tuple, simhash_dedup.removed_pairs(docs).collect())) == [(1000 + d, d) for d in range(60)]
+
+
+def test_pipeline_drops_the_farthest_near_copies(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame(_far_copies(4), "doc_id long, text string")
+    assert sorted(x["doc_id"] for x in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == list(range(60))
