@@ -197,3 +197,23 @@ def test_pipeline_drops_the_farthest_near_copies(spark):
 
     docs = spark.createDataFrame(_far_copies(4), "doc_id long, text string")
     assert sorted(x["doc_id"] for x in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == list(range(60))
+
+
+def test_op8_nodes_are_all_terms(spark):
+    """No label tells of the company of toxic words, which is in a tenth of the texts, nor of terms in one text of all."""
+    from tests.llm import brute
+
+    r = random.Random(13)
+    rows = []
+    for i in range(1000):
+        words = [f"w{r.randint(0, 59)}" for _ in range(8)]
+        if i % 5 == 0:
+            words[2:2] = ["idiot", "scum", *(["company"] if i % 2 else [])]
+        rows.append((i, " ".join([*words, *([f"rare{i}"] if i % 100 == 0 else [])])))
+    labels = {i: int(i % 5 == 0) for i in range(0, 1000, 2)}
+    told = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    _, lexicon = toxicity.induce(spark.createDataFrame(rows, "doc_id long, text string"), told)
+    polarity, _ = brute.toxicity(rows, labels, 0.5)
+    found = dict(zip(lexicon.hashes.view(np.int64).tolist(), lexicon.weights.tolist(), strict=True))
+    assert len(found) == len({w for _, t in rows for w in t.split()}) and set(found) == set(polarity)
+    assert all(found[h] == pytest.approx(polarity[h], abs=1e-9) for h in found)
