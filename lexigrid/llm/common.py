@@ -57,10 +57,10 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df as a table in the shared folder: cuts the lineage and outlives executors."""
+def written(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """df as a table in the shared folder: cuts the lineage and outlives executors. codec: the session's, unless it is named."""
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -217,3 +217,52 @@ def test_op8_nodes_are_all_terms(spark):
     found = dict(zip(lexicon.hashes.view(np.int64).tolist(), lexicon.weights.tolist(), strict=True))
     assert len(found) == len({w for _, t in rows for w in t.split()}) and set(found) == set(polarity)
     assert all(found[h] == pytest.approx(polarity[h], abs=1e-9) for h in found)
+
+
+@pytest.mark.parametrize("held", [0, 1 << 23])
+def test_op8_counts_all_pairs_in_turns(monkeypatch, held):
+    """Pairs go through packing by blocks, in some turns, and come back whole: counts of over 255, far steps, all blocks."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(toxicity, "HELD_PAIRS", held)
+    monkeypatch.setattr(toxicity, "HELD", 10)
+    r, size = np.random.default_rng(6), 1 << 27
+    texts = [np.minimum(r.zipf(1.2, int(r.integers(0, 60))), size - 1).astype(np.int32) for _ in range(1500)] + [np.array([3, 7] * 300, np.int32), np.array([0, size - 1, 5000], np.int32)]
+    want: Counter = Counter()
+    for t in (t.tolist() for t in texts):
+        want.update((min(a, b), max(a, b)) for k, a in enumerate(t) for b in t[k + 1 : k + 1 + toxicity.WINDOW] if a != b)
+    batch = pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in texts], pa.binary())], ["seq"])
+    found: Counter = Counter()
+    for turn in range(toxicity.SLICES):
+        packed = pa.Table.from_batches(toxicity._pairs(size, toxicity.WINDOW, turn)(iter([batch]))).combine_chunks().sort_by("block")
+        for out in toxicity._merged(size, 1)(iter(packed.to_batches(max_chunksize=7))):
+            found.update(dict(zip(zip(out.column("a").to_pylist(), out.column("b").to_pylist(), strict=True), out.column("n").to_pylist(), strict=True)))
+    assert found == want and max(want.values()) > 255
+    small = pa.RecordBatch.from_arrays([pa.array([(t % 9000).astype(np.int32).tobytes() for t in texts[:50]], pa.binary())], ["seq"])
+    whole = sum(sum(1 for k, a in enumerate(t) for b in t[k + 1 : k + 1 + toxicity.WINDOW] if a != b) for t in ((x % 9000).tolist() for x in texts[:50]))
+    assert sum(sum(out.column("n").to_pylist()) for out in toxicity._margins(9000, toxicity.WINDOW)(iter([small]))) == 2 * whole
+
+
+def test_op8_keeps_little_on_disk(spark):
+    """All pairs of all texts lay on the disk at once, eight bytes a step, and stayed there."""
+    import time
+
+    r = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{k}" for k in r.zipf(1.3, 200) % 30000) + (" idiot scum" if i % 10 == 0 else "")) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).localCheckpoint()
+    told = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(0, 4000, 2)], "doc_id long, toxic int").localCheckpoint()
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> dict[str, int]:
+        files = manager.getAllFiles()
+        return {f.getName(): f.length() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_")}
+
+    before = shuffled()
+    _, lexicon = toxicity.induce(docs, told)
+    assert lexicon.weights.any()
+    for _ in range(20):
+        left = sum(n for name, n in shuffled().items() if name not in before)
+        if left < 10000:
+            break
+        time.sleep(0.5)
+    assert left < 10000
