@@ -39,7 +39,7 @@ WINDOW, MIN_COUNT, RESTART, STEPS = 5, 5, 0.3, 10
 #: Polarities from which terms count in scores; the labels choose.
 FLOORS = (0.5, 0.6, 0.7, 0.75, 0.8, 0.85, 0.9)
 SEED_ERROR, SEED_ODDS, LEAN_FALSE = 0.01, 1.5, 20.0
-HELD, HELD_PAIRS, BROADCAST_BYTES = 1 << 20, 1 << 23, 16 << 20
+HELD, HELD_PAIRS, BROADCAST_BYTES = 1 << 20, 1 << 22, 16 << 20
 #: Turns in which pairs are counted. Blocks of the pairs' commoner terms: of FINE for the COMMON commonest terms, of COARSE for the rest.
 SLICES, COMMON, FINE, COARSE = 4, 1 << 12, 16, 1 << 12
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -335,7 +335,8 @@ def walks(edges: DataFrame, linked: np.ndarray, starts: list[np.ndarray], restar
     """
     start = np.stack([x / max(x.sum(), 1e-300) for x in starts], axis=1)
     own = start[linked]
-    alone = np.delete(start, linked, axis=0).sum(axis=0)
+    start[linked] = 0
+    alone = start.sum(axis=0)
 
     def passed(state: np.ndarray) -> np.ndarray:
         out = np.zeros_like(state)
@@ -406,7 +407,7 @@ def _induced(docs: DataFrame, labels: DataFrame, min_share: float, max_share: fl
     lean_bar, seed_bar = significance(tests, LEAN_FALSE), significance(tests, SEED_ERROR)
     nodes = counts.mapInArrow(_nodes(n, *totals, lean_bar, min_share, max_share), counts.schema)
     nodes = nodes.select("hash", *[F.col(c).cast("int") for c in ("n", "bad", "good")]).toArrow()  # the vocabulary: see above
-    hashes = nodes.column("hash").to_numpy().astype(np.int64).view(np.uint64)
+    hashes = nodes.column("hash").to_numpy().view(np.uint64)
     order = np.lexsort((hashes, -nodes.column("n").to_numpy()))
     hashes = hashes[order]
     bad, good = (nodes.column(c).to_numpy()[order] for c in ("bad", "good"))
@@ -416,7 +417,7 @@ def _induced(docs: DataFrame, labels: DataFrame, min_share: float, max_share: fl
     numbers = np.argsort(hashes).astype(np.int32)
     with _shared(spark, (hashes[numbers], numbers)) as held:
         encoded = written(texts.mapInArrow(_encoded(held), f"doc_id {kind}, seq binary, size int"), "encoded", "zstd")
-    del numbers
+    del numbers, held  # the driver has no room for copies of the vocabulary
 
     parts = [likelihood_ratio(bad[i : i + HELD], good[i : i + HELD], *totals) for i in range(0, v, HELD)]
     ratio, odds = (np.concatenate([np.empty(0), *x]) for x in (zip(*parts, strict=True) if parts else ((), ())))
@@ -428,8 +429,7 @@ def _induced(docs: DataFrame, labels: DataFrame, min_share: float, max_share: fl
         toxic_start[seeds] = ratio[seeds]  # surer seeds count more
         starts = [toxic_start, (odds <= 0).astype(float)]
         del ratio, odds, toxic_start
-        edges, linked = _edges(encoded, v)
-        p = walks(edges, linked, starts)
+        p = walks(*_edges(encoded, v), starts)
         both = p.sum(axis=1) + 1 / v  # what is hardly visited at all leans to neither side
         weights = np.divide(p[:, 0] - p[:, 1], both, out=np.zeros(v), where=both > 0)
     return encoded, Lexicon(hashes, weights)
