@@ -266,3 +266,25 @@ def test_op8_keeps_little_on_disk(spark):
             break
         time.sleep(0.5)
     assert left < 10000
+
+
+def test_op8_tells_toxic_words_from_company_of_high_polarity(spark):
+    """In a large graph words that clean texts have too come to 0.9 to 0.97; a floor of 0.9 at most found texts by these."""
+    r = np.random.default_rng(14)
+    polarity = np.concatenate([np.linspace(0.975, 0.996, 40), np.linspace(0.9, 0.97, 300), np.zeros(2000)])
+    rows = []
+    for i in range(2000):
+        toxic = r.integers(0, 40, 2) if i % 10 == 0 else []
+        seq = np.concatenate([toxic, r.integers(40, 340, int(r.integers(0, 9))), r.integers(340, 2340, 40)]).astype(np.int32)
+        rows.append((i, bytearray(seq.tobytes()), len(seq)))
+    encoded = spark.createDataFrame(rows, "doc_id long, seq binary, size int")
+    told = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(0, 2000, 5)], "doc_id long, toxic int")
+    scores, threshold, floor = toxicity.scored(encoded, toxicity.Lexicon(np.arange(len(polarity), dtype=np.uint64), polarity), told)
+    assert {x["doc_id"] for x in scores.where(f"score >= {threshold}").collect()} == set(range(0, 2000, 10)) and floor > 0.9
+
+
+def test_op8_floors_follow_the_highest_polarities():
+    assert toxicity.floors_of(np.zeros(5)) == toxicity.FLOORS == toxicity.floors_of(np.empty(0))
+    found = toxicity.floors_of(np.array([0.97, -0.99, 0.99, 0.95, 0.91, 0.2]))
+    assert found == (0.98, 0.96, 0.93, *toxicity.FLOORS)
+    assert toxicity.floors_of(np.full(100, 0.95)) == (0.95, *toxicity.FLOORS)
