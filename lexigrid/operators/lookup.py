@@ -1,4 +1,7 @@
-"""Look-ups: exact, by prefix, and the bases of a form; each also for many keys at once, as a join."""
+"""Look-ups: exact, by prefix, and the bases of a form; each also for many keys at once, as a join.
+
+Where an order has nulls, they come last, as in SQL: a row may be found by its key and have no word.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +13,7 @@ from lexigrid.functions.text import LOWER, UPPER, ascii_fold, base_forms, key_ra
 
 def best_first(lemma: str | None = "is_lemma", tie: str = "id") -> list[Column]:
     """Lemmas first, then the smallest id."""
-    return ([F.col(lemma).desc_nulls_last()] if lemma else []) + [F.col(tie).asc()]
+    return ([F.col(lemma).desc_nulls_last()] if lemma else []) + [F.col(tie).asc_nulls_last()]
 
 
 def folded(typed: str) -> str:
@@ -38,14 +41,19 @@ def exact_many(df: DataFrame, keys: DataFrame, key: str, word: str = "word", lem
     return best.select(F.col("_key").alias(key) if key not in df.columns else F.col("_key").alias(f"asked_{key}"), "_best.*")
 
 
+def by_length(word: str = "word") -> list[Column]:
+    """The shortest word, then its text; rows without one last."""
+    return [F.length(word).asc_nulls_last(), F.col(word).asc_nulls_last()]
+
+
 def by_frequency(typed: str, word: str = "word", frequency: str = "frq") -> list[Column]:
     """The exact word, then rising rank in frequency (unknown last), length, word."""
-    return [F.when(ascii_fold(F.col(word)) == ascii_fold(F.lit(typed)), 0).otherwise(1), F.col(frequency).asc_nulls_last(), F.length(word), F.col(word)]
+    return [F.when(ascii_fold(F.col(word)) == ascii_fold(F.lit(typed)), 0).otherwise(1), F.col(frequency).asc_nulls_last(), *by_length(word)]
 
 
 def by_lemma(typed: str, word: str = "word", lemma: str = "is_lemma") -> list[Column]:
     """The exact word, then lemmas, length, word."""
-    return [F.when(ascii_fold(F.col(word)) == ascii_fold(F.lit(typed)), 0).otherwise(1), F.col(lemma).desc_nulls_last(), F.length(word), F.col(word)]
+    return [F.when(ascii_fold(F.col(word)) == ascii_fold(F.lit(typed)), 0).otherwise(1), F.col(lemma).desc_nulls_last(), *by_length(word)]
 
 
 def clamp(limit: object, default: int = 20, most: int = 50) -> int:
@@ -72,14 +80,14 @@ def search(df: DataFrame, typed: str, limit: int = 20, word: str = "word", key:
         near = near | key_range(F.col(key), folded(typed)) if near is not None else None
     if near is not None:
         df = df.where(near)  # a condition of its own, of comparisons alone: what a scan can take
-    return df.where(hit).orderBy(*(order or by_lemma(typed, word)), F.col(tie)).limit(limit)
+    return df.where(hit).orderBy(*(order or by_lemma(typed, word)), F.col(tie).asc_nulls_last()).limit(limit)
 
 
 def contains_not_prefix(df: DataFrame, typed: str, limit: int = 20, word: str = "word", frequency: str = "frq", tie: str = "id") -> DataFrame:
     """Rows that contain what was typed elsewhere than at the beginning."""
     folded = ascii_fold(F.lit(typed))
     c = ascii_fold(F.col(word))
-    return df.where(F.contains(c, folded) & ~F.startswith(c, folded)).orderBy(F.col(frequency).asc_nulls_last(), F.length(word), F.col(word), F.col(tie)).limit(limit)
+    return df.where(F.contains(c, folded) & ~F.startswith(c, folded)).orderBy(F.col(frequency).asc_nulls_last(), *by_length(word), F.col(tie).asc_nulls_last()).limit(limit)
 
 
 def search_many(df: DataFrame, queries: DataFrame, typed: str, limit: int, order: list[Column], word: str = "word") -> DataFrame:

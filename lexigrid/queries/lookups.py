@@ -22,7 +22,7 @@ SELECT doc_id, source, head FROM d WHERE starts_with({fold('head')}, 'src1') OR
 def prefix_or_key(t: Tables) -> DataFrame:
     """A prefix of the first line or of the source; the first 50."""
     d = t.documents.select("doc_id", "source", text.first_line(F.col("text")).alias("head"))
-    return lookup.search(d, "SRC1", 50, "head", "source", [F.length("head"), F.col("head")], "doc_id")
+    return lookup.search(d, "SRC1", 50, "head", "source", lookup.by_length("head"), "doc_id")
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%_d r%' ESCAPE '!' AND starts_with(substr(p_name, 3), 'd r') ORDER BY p_name, p_partkey LIMIT 30")
@@ -48,7 +48,7 @@ def exact_lookup_one(t: Tables) -> DataFrame:
 def prefix_search_many(t: Tables) -> DataFrame:
     """The first three for each of many prefixes."""
     prefixes = t.part.select(F.substring("p_name", 1, 3).alias("p")).distinct()
-    return lookup.search_many(t.part, prefixes, "p", 3, [F.col("p_size"), F.col("p_name"), F.col("p_partkey")], "p_name").select("p", "rank", "p_partkey", "p_name")
+    return lookup.search_many(t.part, prefixes, "p", 3, [F.col("p_size").asc_nulls_last(), F.col("p_name"), F.col("p_partkey")], "p_name").select("p", "rank", "p_partkey", "p_name")
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'ring') AND NOT starts_with(p_name, 'ring') ORDER BY p_size, length(p_name), p_name, p_partkey LIMIT 25")
