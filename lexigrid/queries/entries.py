@@ -21,7 +21,7 @@ def _strings(*xs: Column | str) -> Column:
 
 
 def _lines(t: Tables) -> DataFrame:
-    """(p_partkey, value): a line of JSON for each part."""
+    """(p_partkey, value): a line of JSON for each part. The narrow rows are spread first: a file has few row groups, and each would be one task's."""
     size, key = F.col("p_size"), F.col("p_partkey")
     word = F.concat("p_name", F.lit(" "), key % 5)
     none = F.array().cast("array<string>")
@@ -42,7 +42,8 @@ def _lines(t: Tables) -> DataFrame:
         F.when(size % 4 == 0, "Forma verbal").otherwise("Sustantivo").alias("pos_title"),
         sounds.alias("sounds"), F.array(sense).alias("senses"), forms.alias("forms"),
     )
-    return t.part.select("p_partkey", F.to_json(entry).alias("value"))
+    parts = t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size").repartition("p_partkey")
+    return parts.select("p_partkey", F.to_json(entry).alias("value"))
 
 
 def _entries(t: Tables) -> DataFrame:
