@@ -262,9 +262,9 @@ def sense_notes(t: Tables) -> DataFrame:
 )
 def source_sounds(t: Tables) -> DataFrame:
     """Pronunciations of a source's records: the first, the slashed one, a region's, the best of all variants."""
-    e, c = _entries(t), F.col("sounds")
-    v = ipa.sounds_variants(c)
-    return e.select("seq", ipa.first_phonemic(c).alias("first"), ipa.pick_ipa(c).alias("picked"), ipa.region_ipa(c, "US", ["UK"]).alias("us"), F.size(v).alias("variants"), ipa.best_variant(v, [], ["UK", "US"]).alias("plain"), ipa.best_variant(v, ["UK"], ["US"]).alias("uk"))
+    c, v = F.col("sounds"), F.col("v")
+    e = _entries(t).select("seq", "sounds", ipa.sounds_variants(c).alias("v"))
+    return e.select("seq", ipa.first_variant(v).alias("first"), ipa.pick_ipa(c).alias("picked"), ipa.region_ipa(c, "US", ["UK"]).alias("us"), F.size(v).alias("variants"), ipa.best_variant(v, [], ["UK", "US"]).alias("plain"), ipa.best_variant(v, ["UK"], ["US"]).alias("uk"))
 
 
 _TAGGED = ["indicative present first-person singular", "gerund", "subjunctive imperfect third-person singular", "participle past"]
